@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kartoteka.cluster import cut
+from kartoteka.cluster import attach, cut
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
@@ -21,15 +21,16 @@ def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .distinct()
     )
-    seen = None
+    n, seen = links.count(), None
     for _ in range(max_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("low")).withColumn("low", F.least("u", "low"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("degree"))
+        low = low.withColumn("low", F.least("u", "low"))
+        large = attach(both.where("v > u"), low, ["u"], "degree", 2 * n).select(F.col("v").alias("u"), F.col("low").alias("v"))
         large = large.where("u <> v").distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("low"))
+        down = large.groupBy("u").agg(F.min("v").alias("low"), F.count("*").alias("degree"))
         small = (
-            large.join(down, "u")
+            attach(large, down, ["u"], "degree", 2 * n)
             .select(F.when(F.col("v") == F.col("low"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("low").alias("v"))
             .where("u <> v")
             .distinct()
@@ -38,7 +39,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 30) -> DataFrame:
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == seen:
             break
-        seen = tuple(now)
+        n, seen = now[0], tuple(now)
     else:
         raise RuntimeError(f"the links still change after {max_rounds} rounds")
     nodes = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
