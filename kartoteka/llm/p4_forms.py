@@ -37,11 +37,13 @@ def surface(value: str) -> str:
     hyphens, and look-alike letters in the alphabet of the value's other letters."""
     text = IGNORABLE.sub("", unicodedata.normalize("NFKC", value))
     text = SPACE.sub(" ", text)
+    text = unicodedata.normalize("NFKC", text)
     if "̷" in text or "̸" in text or "̵" in text:
         for pair, one in STROKED.items():
             text = text.replace(pair, one)
-        text = unicodedata.normalize("NFKC", text)
     text = "".join("-" if c in DASHES else "'" if c in QUOTES else c for c in text)
+    if any(LETTER_OF["Greek"].match(c) or LETTER_OF["Cyrillic"].match(c) or c in LATIN for c in text):
+        text = unicodedata.normalize("NFKD", text)  # a look-alike letter may carry an accent
     if any(c in LOOKS for c in text):
         plain = [c for c in text if c.isalpha() and c not in LOOKS]
         latin = sum(1 for c in plain if LETTER_OF["Latin"].match(c))
@@ -53,7 +55,7 @@ def surface(value: str) -> str:
         plain = [c for c in text if c.isalpha() and not LETTER_OF["Latin"].match(c)]
         if 2 * len(plain) > sum(c.isalpha() for c in text):
             text = "".join(_back(c, plain) if LETTER_OF["Latin"].match(c) else c for c in text)
-    return text
+    return unicodedata.normalize("NFKC", text)
 
 
 def _back(c: str, plain: list[str]) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kartoteka.llm import p1_copies, p4_forms
+from kartoteka.llm import p1_copies, p2_scans, p4_forms, p6_places
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -25,6 +25,14 @@ def p1_facts(spark: SparkSession, sf: str) -> DataFrame:
     return p1_copies.collapse(_copies(spark, sf))
 
 
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p2_scans.find_noise(_read(spark, sf, "life_events"), "id", "raw_text")
+
+
+def p2_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    return p2_scans.repair(_read(spark, sf, "life_events"), "id", "raw_text")
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return p4_forms.irregular_values(_read(spark, sf, "persons"), "id", ("surname", "surname_normalized"))
 
@@ -34,7 +42,19 @@ def p4_canonical(spark: SparkSession, sf: str) -> DataFrame:
     return p4_forms.canonicalise(persons, ("surname", "surname_normalized"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_facts, p4_found, p4_canonical)}
+def _places(spark: SparkSession, sf: str) -> DataFrame:
+    return p6_places.map_to_reference(_read(spark, sf, "life_events"), "id", "location", _read(spark, sf, "place_ref"))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _places(spark, sf).where("penalty > 0").select("id", "place_id")
+
+
+def p6_misses(spark: SparkSession, sf: str) -> DataFrame:
+    return p6_places.misses(_places(spark, sf))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_facts, p2_found, p2_repaired, p4_found, p4_canonical, p6_found, p6_misses)}
 
 _WORDS = (
     "array_to_string(list_sort(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(lower(coalesce({c}, '')), "
