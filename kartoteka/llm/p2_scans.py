@@ -18,6 +18,8 @@ CONFUSIONS = (
     ("§", "ś"), ("£", "ż"), ("£", "ł"), ("@", "ą"), ("¢", "ę"), ("ü", "ii"), ("rn", "m"), ("m", "rn"), ("vv", "w"), ("cl", "d"),
     ("e", "c"), ("c", "e"), ("u", "n"), ("n", "u"), ("b", "h"), ("h", "b"), ("f", "t"), ("t", "f"), ("l", "i"), ("i", "l"), ("ni", "m"), ("li", "h"),
 )
+#: Letters read for a digit of a year.
+DIGITS = str.maketrans("lI|OoSBZg", "111005829")
 #: Marks of a split word at a line's end that are no hyphens of the text itself.
 SOFT = "¬­=‐"
 DASH = r"—–\-"
@@ -37,7 +39,7 @@ GUIDE = rf"^(?:\d{{1,4}}\s+)?\p{{Lu}}{{2,4}}\s*[{DASH}]\s*\p{{Lu}}{{2,4}}(?:[ .]
 SPACED = r"^(?:\d{1,4} {2,})?(?:[\p{L}\p{N}],?\s+){5,}[\p{L}\p{N}],?(?:[ .]+\d{1,4})?$"
 CAPITALS = r"^[\p{Lu}\s\d.,]*\p{Lu}{2,}[ ,]+\p{Lu}[\p{Lu}\s\d.,]*$"
 EDGE = r"^\d{1,4} {3}\p{Lu}[\p{L}\s\d,.]+$|^\p{Lu}[\p{L}\s\d,.]+ {3}\d{1,4}$"
-MISREAD_YEAR = r"(?<![\p{L}\p{N}/.-])(?=[\p{N}\p{L}]*\d[\p{N}\p{L}]*\d)(?:[lI|][789]\d\d|[1lI|][789OSBg][\dOSBlIoZ][\dOSBlIoZ])(?![\p{L}\p{N}/])"
+MISREAD_YEAR = r"(?<![\p{L}\p{N}/.-])(?=[\p{N}\p{L}|]*\d[\p{N}\p{L}|]*\d)(?=\d*[\p{L}|])(?:[lI|][789]\d\d|[1lI|][789OSBg][\dOSBlIoZ][\dOSBlIoZ])(?![\p{L}\p{N}/])"
 MISREAD_WORD = r"(?:\p{L}[0-9|§£@¢]+\p{L}|(?<![\p{L}\p{N}])[0-9|§£@¢]\p{Ll}{3,}|(?<![\p{L}\p{N}])[|§£@¢]\p{L}|\p{L}{2}[0-9|§£@¢](?![\p{N}/])|\p{L}ü(?!\p{L}))"
 #: An ordinal written with its ending is no misread word.
 ORDINAL = r"(?<![\p{L}\p{N}])\d{1,4}(?:go|mu|ga|ta|ty|szy|gie|st|nd|rd|th|ej|ym|ych|tego)(?![\p{L}])"
@@ -66,14 +68,14 @@ def running_heads(texts: DataFrame) -> DataFrame:
 def mark_lines(texts: DataFrame, heads: DataFrame) -> DataFrame:
     """``texts`` with ``lines``, one struct ``line, head, page`` for each line of the text."""
     lines = texts.withColumn("lines", F.transform(F.split("text", "\n"), lambda x: F.trim(F.translate(x, "\r\t", "  "))))
-    candidates = lines.select("tid", F.posexplode("lines").alias("pos", "line")).where(F.col("line").rlike(r"^[\p{Lu}\d]") & (F.length("line") >= 6) & ~F.col("line").rlike(r"\p{Ll}[.,;:]\s+\S|-$"))
+    candidates = lines.select("tid", F.posexplode("lines").alias("pos", "line")).where(F.col("line").rlike(r"^[\p{Lu}\d]") & (F.length("line") >= 6) & ~F.col("line").rlike(r"\p{Ll}[.;:]\s+\p{L}|-$"))
     found = candidates.select("tid", "pos", _core(F.col("line")).alias("core")).join(heads, "core", "left_semi")
     found = found.groupBy("tid").agg(F.collect_set("pos").alias("at"))  # bounded by the lines of one text
     joined = lines.join(found, "tid", "left").withColumn("at", F.coalesce("at", F.array().cast("array<int>")))
 
     def mark(line: Column, i: Column) -> Column:
         head = F.array_contains("at", i) | line.rlike(GUIDE)
-        before = F.element_at(F.filter(F.slice("lines", F.lit(1), i), lambda x: x != ""), -1)
+        before = F.try_element_at(F.filter(F.slice("lines", F.lit(1), i), lambda x: x != ""), F.lit(-1))
         after = F.get(F.filter(F.slice("lines", i + 2, F.size("lines")), lambda x: x != ""), F.lit(0))
         dotted = line.rlike(PAGE_DOT) & (F.coalesce(after.rlike(r"^\p{Ll}"), F.lit(False)) | F.coalesce(before.rlike(r"[.!?]$"), i == 0))
         page = line.rlike(PAGE_ALONE) | dotted | (head & line.rlike(PAGE_EDGE))
@@ -213,6 +215,7 @@ def find_noise(df: DataFrame, id_col: str, text: str) -> DataFrame:
 def _apply(texts: pd.Series, fixes: pd.Series) -> pd.Series:
     """Each text with its corrections, the letter case of the word's first letter kept."""
     token = regex.compile(rf"[{GLYPH}]+(?:-[{GLYPH}]+)*")
+    year = regex.compile(MISREAD_YEAR)
     out = []
     for text, pairs in zip(texts, fixes):
         known = {p["word"]: p["variant"] for p in pairs} if pairs is not None else {}
@@ -221,7 +224,8 @@ def _apply(texts: pd.Series, fixes: pd.Series) -> pd.Series:
             new = known.get(m[0].lower())
             return m[0] if new is None else new.upper() if m[0].isupper() else new.capitalize() if m[0][0].isupper() else new
 
-        out.append(token.sub(fix, text) if known else text)
+        text = token.sub(fix, text) if known else text
+        out.append(year.sub(lambda m: m[0].translate(DIGITS), text))
     return pd.Series(out, dtype=object)
 
 
