@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kartoteka.llm import p1_copies, p2_scans, p4_forms, p6_places
+from kartoteka.llm import p1_copies, p2_scans, p3_names, p4_forms, p6_places
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -33,6 +33,14 @@ def p2_repaired(spark: SparkSession, sf: str) -> DataFrame:
     return p2_scans.repair(_read(spark, sf, "life_events"), "id", "raw_text")
 
 
+def p3_classes(spark: SparkSession, sf: str) -> DataFrame:
+    return p3_names.link(_read(spark, sf, "persons"), "id", "surname", "given_names", _read(spark, sf, "person_groups"))
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p3_names.pairs(p3_classes(spark, sf))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return p4_forms.irregular_values(_read(spark, sf, "persons"), "id", ("surname", "surname_normalized"))
 
@@ -54,7 +62,7 @@ def p6_misses(spark: SparkSession, sf: str) -> DataFrame:
     return p6_places.misses(_places(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_facts, p2_found, p2_repaired, p4_found, p4_canonical, p6_found, p6_misses)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_facts, p2_found, p2_repaired, p3_found, p3_classes, p4_found, p4_canonical, p6_found, p6_misses)}
 
 _WORDS = (
     "array_to_string(list_sort(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(lower(coalesce({c}, '')), "
