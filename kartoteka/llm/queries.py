@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kartoteka.llm import p1_copies, p2_scans, p3_names, p4_forms, p6_places
+from kartoteka.llm import p1_copies, p2_scans, p3_names, p4_forms, p6_places, p9_personal
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -62,7 +62,15 @@ def p6_misses(spark: SparkSession, sf: str) -> DataFrame:
     return p6_places.misses(_places(spark, sf))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_facts, p2_found, p2_repaired, p3_found, p3_classes, p4_found, p4_canonical, p6_found, p6_misses)}
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p9_personal.find_mentions(_read(spark, sf, "documents"), "doc_id", "text").select("doc_id", "kind", "start_pos").distinct()
+
+
+def p9_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    return p9_personal.redact(_read(spark, sf, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_facts, p2_found, p2_repaired, p3_found, p3_classes, p4_found, p4_canonical, p6_found, p6_misses, p9_found, p9_redacted)}
 
 _WORDS = (
     "array_to_string(list_sort(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(lower(coalesce({c}, '')), "
