@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kartoteka.llm import p1_copies, p2_scans, p3_names, p4_forms, p6_places, p9_personal
+from kartoteka.llm import p1_copies, p2_scans, p3_names, p4_forms, p5_best, p6_places, p7_packing, p8_mixing, p9_personal
 
 
 def _read(spark: SparkSession, sf: str, table: str) -> DataFrame:
@@ -50,6 +50,18 @@ def p4_canonical(spark: SparkSession, sf: str) -> DataFrame:
     return p4_forms.canonicalise(persons, ("surname", "surname_normalized"))
 
 
+def _groups(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return tuple(_read(spark, sf, t) for t in ("person_groups", "persons", "life_events"))
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p5_best.best_members(*_groups(spark, sf))
+
+
+def p5_records(spark: SparkSession, sf: str) -> DataFrame:
+    return p5_best.records(*_groups(spark, sf))
+
+
 def _places(spark: SparkSession, sf: str) -> DataFrame:
     return p6_places.map_to_reference(_read(spark, sf, "life_events"), "id", "location", _read(spark, sf, "place_ref"))
 
@@ -62,6 +74,22 @@ def p6_misses(spark: SparkSession, sf: str) -> DataFrame:
     return p6_places.misses(_places(spark, sf))
 
 
+def p7_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return p7_packing.pack(_read(spark, sf, "documents"), _read(spark, sf, "pack_sizes"))
+
+
+def p7_report(spark: SparkSession, sf: str) -> DataFrame:
+    return p7_packing.report(p7_containers(spark, sf), _read(spark, sf, "pack_sizes"))
+
+
+def p8_mixed(spark: SparkSession, sf: str) -> DataFrame:
+    return p8_mixing.mix(_read(spark, sf, "documents"), _read(spark, sf, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return p8_mixing.report(p8_mixed(spark, sf), _read(spark, sf, "mix_targets"))
+
+
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return p9_personal.find_mentions(_read(spark, sf, "documents"), "doc_id", "text").select("doc_id", "kind", "start_pos").distinct()
 
@@ -70,7 +98,7 @@ def p9_redacted(spark: SparkSession, sf: str) -> DataFrame:
     return p9_personal.redact(_read(spark, sf, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_facts, p2_found, p2_repaired, p3_found, p3_classes, p4_found, p4_canonical, p6_found, p6_misses, p9_found, p9_redacted)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_facts, p2_found, p2_repaired, p3_found, p3_classes, p4_found, p4_canonical, p5_found, p5_records, p6_found, p6_misses, p7_containers, p7_report, p8_mixed, p8_shares, p9_found, p9_redacted)}
 
 _WORDS = (
     "array_to_string(list_sort(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(lower(coalesce({c}, '')), "
