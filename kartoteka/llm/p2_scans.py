@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 import regex
@@ -166,18 +166,27 @@ def _open_hyphens(bodies: DataFrame, lex: DataFrame) -> DataFrame:
     return seen.where((n_whole > n_double) | ((n_whole == 0) & (n_double <= 0) & short)).select("tid").distinct()
 
 
-def _analyse(texts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _analyse(texts: DataFrame) -> tuple[DataFrame, _Corrections, DataFrame]:
     """Texts without edge lines and in one line; the corrections; the texts with an open hyphen that closes."""
-    bodies = cut(without_edges(mark_lines(texts, running_heads(texts))))
-    joined = bodies.withColumn("joined", join_lines(F.col("body")))
+    joined = cut(without_edges(mark_lines(texts, running_heads(texts))).withColumn("joined", join_lines(F.col("body"))))
     lex = cut(lexicon(joined))
-    return joined, cut(corrections(lex)), _open_hyphens(bodies, lex)
+    total = lex.agg(F.sum("n")).first()[0] or 0
+    hot = lex.where(F.col("n") >= max(RARE + 1, -(-total // HOT_WORDS))).select("word")  # at most HOT_WORDS words
+    return joined, _Corrections(cut(corrections(lex)), hot), _open_hyphens(joined, lex)
 
 
-def _rare_words(joined: DataFrame, fixes: DataFrame) -> DataFrame:
+@dataclass
+class _Corrections:
+    """The corrections, and the frequent words that never have one."""
+
+    fixes: DataFrame
+    hot: DataFrame
+
+
+def _rare_words(joined: DataFrame, book: _Corrections) -> DataFrame:
     """``tid, word, variant`` for every text's words that have a correction. The most frequent words, which never have one, are
     left out by a broadcast whose size is bounded before the rest is shuffled."""
-    return joined.select("tid", F.explode(F.array_distinct(words(F.col("joined")))).alias("word")).where(F.length("word") >= 4).join(fixes, "word")
+    return joined.select("tid", F.explode(F.array_distinct(words(F.col("joined")))).alias("word")).where(F.length("word") >= 4).join(F.broadcast(book.hot), "word", "left_anti").join(book.fixes, "word")
 
 
 def find_noise(df: DataFrame, id_col: str, text: str) -> DataFrame:
