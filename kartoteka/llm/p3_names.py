@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kartoteka.cluster import attach, cut
@@ -107,59 +109,71 @@ def parse_names(df: DataFrame, id_col: str, surname: str, given: str) -> DataFra
     return rows.mapInPandas(run, _SCHEMA.format(id=dict(rows.dtypes)["id"])).where("skey <> ''")
 
 
-def edits(length: Column) -> Column:
-    """Edits allowed for a surname key: none below 5 letters, one below 9, else two."""
-    return F.when(length < 5, 0).when(length < 9, 1).otherwise(2)
+def edits(n: int) -> int:
+    """Edits allowed for a surname key of ``n`` letters: none below 5 letters, one below 9, else two."""
+    return 0 if n < 5 else 1 if n < 9 else 2
 
 
-def _bounds(n: Column) -> list[tuple[Column, Column, Column]]:
-    """Start and length of the segments of a key of length ``n``, and from which allowance on they exist. The last one is
-    the longest, as surnames share their endings."""
-    k, tail = edits(n), F.ceil(n * 0.45).cast("int")
+def segments(n: int) -> list[tuple[int, int]]:
+    """Start (from 1) and length of the ``edits(n) + 1`` segments of a key of length ``n``. The last one is the longest, as
+    surnames share their endings."""
+    k = edits(n)
+    if k == 0:
+        return [(1, n)]
+    tail = math.ceil(0.45 * n)
     head = n - tail
-    first = F.when(k == 2, F.floor(head / 2).cast("int")).when(k == 1, head).otherwise(n)
-    second = F.when(k == 2, head - first).otherwise(tail)
-    return [(F.lit(1), first, F.lit(0)), (first + 1, second, F.lit(1)), (head + 1, tail, F.lit(2))]
-
-
-def _index(rows: DataFrame) -> DataFrame:
-    """One row per segment of each ``(g, skey)``: hash of given name, length, segment number and text."""
-    n = F.length("skey")
-    parts = [
-        F.when(edits(n) >= least, F.xxhash64("g", n, F.lit(i), F.substring("skey", start, size)))
-        for i, (start, size, least) in enumerate(_bounds(n))
-    ]
-    return rows.select("*", F.explode(F.array_compact(F.array(*parts))).alias("seg"))
-
-
-def _probe(rows: DataFrame) -> DataFrame:
-    """One row per substring that can equal a segment of a key up to two letters shorter, by the multi-match-aware windows."""
-    m = F.length("skey")
-    parts = []
-    for gap in (0, 1, 2):
-        n = m - gap
-        k = edits(n)
-        for i, (start, size, least) in enumerate(_bounds(n)):
-            for most in (0, 1, 2):
-                if i > most or gap > most:
-                    continue
-                for shift in range(-2, 3):
-                    if abs(shift) <= i and abs(shift - gap) <= most - i:
-                        at = start + shift
-                        fits = (k == most) & (n >= 1) & (at >= 1) & (at + size - 1 <= m)
-                        parts.append(F.when(fits, F.xxhash64("g", n, F.lit(i), F.substring("skey", at, size))))
-    return rows.select("*", F.explode(F.array_distinct(F.array_compact(F.array(*parts)))).alias("seg"))
-
-
-def similar_keys(index: DataFrame, probe: DataFrame) -> DataFrame:
+    if k == 1:
+        return [(1, head), (head + 1, tail)]
+    return [(1, head // 2), (head // 2 + 1, head - head // 2), (head + 1, tail)]
+
+
+def windows(m: int) -> list[tuple[int, int, int, int]]:
+    """``(n, segment, start, length)`` of every substring of a key of length ``m`` that can equal a segment of a key of length
+    ``n <= m`` (multi-match-aware selection)."""
+    out = []
+    for n in range(max(1, m - 2), m + 1):
+        k, gap = edits(n), m - n
+        if gap > k:
+            continue
+        for i, (start, size) in enumerate(segments(n)):
+            for shift in range(-k, k + 1):
+                at = start + shift
+                if abs(shift) <= i and abs(shift - gap) <= k - i and at >= 1 and at + size - 1 <= m:
+                    out.append((n, i, at, size))
+    return out
+
+
+def _cut_keys(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """One row per entry of ``table`` (``m, n, i, at, size``, by key length): hash of given name, length, segment and text."""
+    cut_at = rows.join(F.broadcast(table), F.length("skey") == F.col("m"))
+    return cut_at.select("skey", "node", F.xxhash64("g", "n", "i", F.substring("skey", F.col("at"), F.col("size"))).alias("seg"))
+
+
+@dataclass
+class Segments:
+    """The segment tables for all key lengths up to ``longest``; a few rows per length, so broadcast."""
+
+    index: DataFrame
+    probe: DataFrame
+
+    @classmethod
+    def upto(cls, spark: SparkSession, longest: int) -> Segments:
+        kind = "m int, n int, i int, at int, size int"
+        lengths = range(1, longest + 1)
+        index = [(n, n, i, at, size) for n in lengths for i, (at, size) in enumerate(segments(n))]
+        probe = [(m, *w) for m in lengths for w in windows(m)]
+        return cls(spark.createDataFrame(index, kind), spark.createDataFrame(probe, kind))
+
+
+def similar_keys(index: DataFrame, probe: DataFrame, tables: Segments) -> DataFrame:
     """``a, b, d``: nodes of ``index`` and ``probe`` (each ``g, skey, node``) with the same ``g`` whose keys are at most the
     allowed edits apart, the index key being the shorter or equally long one. Candidates come from the segment index and are
     verified by a banded edit distance."""
-    left = _index(index).select("seg", F.col("skey").alias("key_a"), F.col("node").alias("a"))
-    right = _probe(probe).select("seg", F.col("skey").alias("key_b"), F.col("node").alias("b"))
-    found = left.join(right, "seg").where("a <> b").dropDuplicates(["a", "b", "key_a", "key_b"])
-    d = F.levenshtein("key_a", "key_b", 2)
-    return found.withColumn("d", d).where((F.col("d") >= 0) & (F.col("d") <= edits(F.length("key_a")))).select("a", "b", "d")
+    left = _cut_keys(index, tables.index).select("seg", F.col("skey").alias("key_a"), F.col("node").alias("a"))
+    right = _cut_keys(probe, tables.probe).select("seg", F.col("skey").alias("key_b"), F.col("node").alias("b"))
+    found = left.join(right, "seg").where("a <> b").drop("seg").distinct()
+    allowed = F.when(F.length("key_a") < 5, 0).when(F.length("key_a") < 9, 1).otherwise(2)
+    return found.withColumn("d", F.levenshtein("key_a", "key_b", 2)).where((F.col("d") >= 0) & (F.col("d") <= allowed)).select("a", "b", "d")
 
 
 def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: DataFrame | None = None) -> DataFrame:
@@ -173,12 +187,13 @@ def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: Data
     """
     parsed, n_rows = cut(parse_names(persons, id_col, surname, given)), persons.count()
     shape = ["skey", "givens", "inits", "abbr"]
-    nodes = parsed.groupBy(*shape).agg(F.min("id").alias("node"), F.count("*").alias("n"))
+    nodes = cut(parsed.groupBy(*shape).agg(F.min("id").alias("node"), F.count("*").alias("n")))
     named = nodes.where("size(givens) > 0").select("skey", "node", F.explode("givens").alias("g"), "abbr", "givens")
     full = named.where("abbr IS NULL").groupBy("g", "skey").agg(F.min("node").alias("rep"))
     same = named.where("abbr IS NULL").join(full, ["g", "skey"]).select(F.col("node").alias("a"), F.col("rep").alias("b"))
     keys = full.select("g", "skey", F.col("rep").alias("node"))
-    near = similar_keys(keys, keys).select("a", "b")
+    tables = Segments.upto(persons.sparkSession, nodes.agg(F.max(F.length("skey"))).first()[0] or 1)
+    near = similar_keys(keys, keys, tables).select("a", "b")
     edges = same.unionByName(near)
     by_hash = parsed.select("id", _shape().alias("_s"))
     sizes = nodes.select(_shape().alias("_s"), "node", "n")
@@ -192,7 +207,7 @@ def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: Data
     classes = nodes.join(strong, "node", "left").select("node", *shape, root, F.col("root").isNull().alias("alone"))
     classes = cut(classes)
     firm = classes.where("size(givens) > 0 AND abbr IS NULL")
-    joined = _weak_links(classes.where("size(givens) = 0 AND alone AND abbr IS NULL"), firm)
+    joined = _weak_links(classes.where("size(givens) = 0 AND alone AND abbr IS NULL"), firm, tables)
     joined = joined.unionByName(_cut_short(classes.where("abbr IS NOT NULL AND alone"), firm))
     final = classes.select("node", "root").join(joined, "node", "left").select("node", F.coalesce("to", "root").alias("root"))
     roots = final.groupBy("root").agg(F.min("node").alias("class_id"), F.count("*").alias("n_nodes"))
@@ -206,14 +221,14 @@ def _shape() -> Column:
     return F.md5(F.concat_ws("\x00", F.col("skey"), F.array_join("givens", " "), F.array_join("inits", " "), F.coalesce("abbr", F.lit("\x01"))))
 
 
-def _weak_links(weak: DataFrame, firm: DataFrame) -> DataFrame:
+def _weak_links(weak: DataFrame, firm: DataFrame, tables: Segments) -> DataFrame:
     """``node, to`` for nodes without a given name: the only class that fits best, else the first node spelled like it."""
     letters = weak.select("node", "skey", F.explode("inits").alias("g"))
     firsts = firm.select("root", "skey", F.explode(F.array_distinct(F.concat(F.transform("givens", lambda x: F.substring(x, 1, 1)), F.col("inits")))).alias("g"))
     heads = firsts.groupBy("g", "skey", "root").agg(F.lit(1).alias("_"))
     ids = heads.select("g", "skey", F.col("root").alias("node"))
-    near = similar_keys(ids, letters).select(F.col("b").alias("node"), F.col("a").alias("to"), "d")
-    near = near.unionByName(similar_keys(letters, ids).select(F.col("a").alias("node"), F.col("b").alias("to"), "d"))
+    near = similar_keys(ids, letters, tables).select(F.col("b").alias("node"), F.col("a").alias("to"), "d")
+    near = near.unionByName(similar_keys(letters, ids, tables).select(F.col("a").alias("node"), F.col("b").alias("to"), "d"))
     bare = weak.where("size(inits) = 0").select("node", "skey").join(firm.select("skey", F.col("root").alias("to")).distinct(), "skey")
     fits = near.unionByName(bare.select("node", "to", F.lit(0).alias("d")))
     fits = fits.groupBy("node", "to").agg((F.count("*") - F.min("d")).alias("score"))
