@@ -209,9 +209,9 @@ def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: Data
     firm = classes.where("size(givens) > 0 AND abbr IS NULL")
     joined = _weak_links(classes.where("size(givens) = 0 AND alone AND abbr IS NULL"), firm, tables)
     joined = joined.unionByName(_cut_short(classes.where("abbr IS NOT NULL AND alone"), firm))
-    final = classes.select("node", "root").join(joined, "node", "left").select("node", F.coalesce("to", "root").alias("root"))
+    final = cut(classes.select("node", "root").join(joined, "node", "left").select("node", F.coalesce("to", "root").alias("root")))
     roots = final.groupBy("root").agg(F.min("node").alias("class_id"), F.count("*").alias("n_nodes"))
-    final = attach(final, roots, ["root"], "n_nodes", n_rows).select("node", "class_id")
+    final = cut(attach(final, roots, ["root"], "n_nodes", n_rows).select("node", "class_id"))
     out = member.join(final, "node").select("id", "class_id")
     rest = persons.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct().join(parsed.select("id"), "id", "left_anti")
     return out.unionByName(rest.select("id", F.col("id").alias("class_id")))
@@ -231,7 +231,7 @@ def _weak_links(weak: DataFrame, firm: DataFrame, tables: Segments) -> DataFrame
     near = near.unionByName(similar_keys(letters, ids, tables).select(F.col("a").alias("node"), F.col("b").alias("to"), "d"))
     bare = weak.where("size(inits) = 0").select("node", "skey").join(firm.select("skey", F.col("root").alias("to")).distinct(), "skey")
     fits = near.unionByName(bare.select("node", "to", F.lit(0).alias("d")))
-    fits = fits.groupBy("node", "to").agg((F.count("*") - F.min("d")).alias("score"))
+    fits = cut(fits.groupBy("node", "to").agg((F.count("*") - F.min("d")).alias("score")))
     best = fits.groupBy("node").agg(F.max("score").alias("score"))
     only = fits.join(best, ["node", "score"]).groupBy("node").agg(F.min("to").alias("to"), F.count("*").alias("n")).where("n = 1")
     twins = weak.groupBy("skey", "inits").agg(F.min("node").alias("twin"))
