@@ -26,8 +26,6 @@ def numbered(df: DataFrame, keys: Sequence[str], order: str, name: str = "index"
     rows = df.withColumn("_b", F.coalesce(place.cast("int"), F.lit(-1)))
     inside = F.row_number().over(W.partitionBy(*keys, "_b").orderBy(F.col(order).asc_nulls_first())) - 1
     rows = rows.withColumn("_i", inside)
-    if buckets == 1:
-        sums = None
     sums = rows.groupBy(*keys, "_b").agg(F.count("*").alias("_n"))
     before = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_b").alias("_kb"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
