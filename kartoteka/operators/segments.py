@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 
 def even_segments(n: int, k: int) -> list[tuple[int, int]]:
-    """Start (from 1) and length of ``k + 1`` segments of nearly equal length; fewer if the string is too short for them."""
-    parts = min(n, k + 1)
+    """Start (from 1) and length of ``k + 1`` segments of nearly equal length."""
+    parts = k + 1
     ends = [round(i * n / parts) for i in range(parts + 1)]
     return [(a + 1, b - a) for a, b in zip(ends, ends[1:])]
 
@@ -35,11 +35,15 @@ class SegmentTables:
                 k, gap = edits(n, m), m - n
                 if k < gap:
                     continue
+                if n <= k:  # too short for k + 1 segments: all strings of these lengths are candidates
+                    index.add((n, n, k, -1, 1, 0))
+                    probe.add((m, n, k, -1, 1, 0))
+                    continue
                 for i, (start, size) in enumerate(even_segments(n, k)):
                     index.add((n, n, k, i, start, size))
                     for shift in range(-k, k + 1):
                         at = start + shift
-                        if at >= 1 and at + size - 1 <= m and (n <= k or abs(shift) <= i and abs(shift - gap) <= k - i):
+                        if at >= 1 and at + size - 1 <= m and abs(shift) <= i and abs(shift - gap) <= k - i:
                             probe.add((m, n, k, i, at, size))
         kind = "m int, n int, k int, i int, at int, size int"
         return cls(spark.createDataFrame(sorted(index), kind), spark.createDataFrame(sorted(probe), kind))
