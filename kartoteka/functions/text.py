@@ -20,6 +20,11 @@ TEMPLATE = ((r"[A-ZŁŚŹŻĆŃÓĄ]{2,}", "U"), (r"\d{4}", "Y"), (r"\d{1,2}", "
 PLAIN_FROM, PLAIN_TO = "ąćęłńóśźż", "acelnoszz"
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def content_id(content: Column) -> Column:
     """First 16 hex digits of the content's SHA-256."""
     return F.substring(F.sha2(content.cast("binary"), 256), 1, 16)
@@ -62,7 +67,7 @@ def fingerprint(text: Column) -> Column:
 
 def plain_surname(surname: Column) -> Column:
     """Lower case, Polish letters without their marks, trimmed."""
-    return F.trim(F.translate(F.lower(surname), PLAIN_FROM, PLAIN_TO))
+    return strip(F.translate(F.lower(surname), PLAIN_FROM, PLAIN_TO))
 
 
 @F.pandas_udf(T.StringType())
@@ -80,7 +85,7 @@ def fold_marks(text: pd.Series) -> pd.Series:
 
 def iso_date(date: Column) -> Column:
     """``dd.mm.yyyy`` at the start as ``yyyy-mm-dd``; else the first four digits in a row; else null."""
-    text = F.lower(F.trim(date))
+    text = F.lower(strip(date))
     full = r"^(\d{2})\.(\d{2})\.(\d{4})"
     parts = [F.regexp_extract(text, full, g) for g in (3, 2, 1)]
     return F.when(text.rlike(full), F.concat_ws("-", *parts)).otherwise(F.nullif(F.regexp_extract(text, r"(\d{4})", 1), F.lit("")))
@@ -88,18 +93,18 @@ def iso_date(date: Column) -> Column:
 
 def clean(text: Column) -> Column:
     """Trimmed; null if nothing is left."""
-    return F.nullif(F.trim(text), F.lit(""))
+    return F.nullif(strip(text), F.lit(""))
 
 
 def to_list(text: Column) -> Column:
     """Parts between commas, trimmed, empty ones left out; null gives the empty list."""
-    parts = F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(text, ","), lambda x: strip(x)), lambda x: x != "")
     return F.coalesce(parts, F.array().cast("array<string>"))
 
 
 def clean_list(items: Column) -> Column:
     """List items, trimmed, empty and null ones left out; null gives the empty list."""
-    parts = F.filter(F.transform(items, lambda x: F.trim(x)), lambda x: x != "")
+    parts = F.filter(F.transform(items, lambda x: strip(x)), lambda x: x != "")
     return F.coalesce(parts, F.array().cast("array<string>"))
 
 
@@ -110,7 +115,7 @@ def split_names(text: Column) -> Column:
 
 def title_case(text: Column) -> Column:
     """Each run of letters with a capital first letter, trimmed: nowak-kowalska becomes Nowak-Kowalska."""
-    runs = F.regexp_extract_all(F.trim(text), F.lit(r"[\p{L}\p{M}]+|[^\p{L}\p{M}]+"), F.lit(0))
+    runs = F.regexp_extract_all(strip(text), F.lit(r"[\p{L}\p{M}]+|[^\p{L}\p{M}]+"), F.lit(0))
     return F.array_join(F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1_000_000)))), "")
 
 
@@ -125,4 +130,4 @@ def entity_id(doc_id: Column, slice_of: Column) -> Column:
 
 def strip_fences(text: Column) -> Column:
     """A model's reply without the code fence around it."""
-    return F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), r"^```[a-z]*\n?", ""), r"\n?```$", ""))
+    return strip(F.regexp_replace(F.regexp_replace(strip(text), r"^```[a-z]*\n?", ""), r"\n?```$", ""))

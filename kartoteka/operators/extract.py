@@ -76,8 +76,8 @@ def entity(fields: Column, doc_id: Column, slice_id: Column, text: Column, confi
 def cached_tier(entries: DataFrame, cache: DataFrame, bloom: BloomFilter) -> DataFrame:
     """``doc_id, slice_id, text, fingerprint, entity`` of entries (``doc_id, slice_id, text``): the entity where the pattern cached for
     the entry's layout finds a surname that the filter knows, else null. Blank entries are left out."""
-    rows = entries.withColumn("text", F.trim("text")).where("text <> ''").withColumn("fingerprint", X.fingerprint(F.col("text")))
-    found = P.apply_patterns(P.lookup(rows, cache)).where("trim(surname) <> ''")
+    rows = entries.withColumn("text", X.strip(F.col("text"))).where("text <> ''").withColumn("fingerprint", X.fingerprint(F.col("text")))
+    found = P.apply_patterns(P.lookup(rows, cache)).withColumn("surname", X.strip(F.col("surname"))).where("surname <> ''")
     known = found.where(bloom.check(F.col("surname"), found))
     fields = F.struct(
         "surname", X.split_names(F.col("given_names")).alias("given_names"), "birth_date", "death_date",
@@ -93,7 +93,7 @@ def model_tier(rest: DataFrame, bloom: BloomFilter, client: Callable[[str], str]
     is an error, one without a surname gives no entity."""
     asked = ask(rest.select("doc_id", "slice_id", "text", "fingerprint"), prompts(F.col("text")), client)
     parsed = cut(asked.withColumn("fields", J.extracted_fields(F.col("reply"))))
-    surname = F.coalesce(F.trim(F.col("fields.surname")), F.lit(""))
+    surname = F.coalesce(X.strip(F.col("fields.surname")), F.lit(""))
     checked = parsed.withColumn("_known", bloom.check(surname, parsed))
     confidence = F.when(F.col("_known"), KNOWN).otherwise(UNKNOWN)
     made = entity(F.col("fields"), F.col("doc_id"), F.col("slice_id"), F.col("text"), confidence, "llm_ollama")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kartoteka.errors import CheckpointError
-from kartoteka.schemas import FAILURE
+from kartoteka.schemas import FAILURE, column_names
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
@@ -66,7 +66,7 @@ class DeadLetters:
 
     def record(self, failures: DataFrame) -> None:
         """Append failures with ``phase, doc_id, error_class, message, input_data``."""
-        failures.select(F.current_timestamp().alias("timestamp"), *FAILURE.names[1:]).write.mode("append").json(self.folder)
+        failures.select(F.current_timestamp().alias("timestamp"), *column_names(FAILURE)[1:]).write.mode("append").json(self.folder)
 
     def failures(self, phase: str | None = None) -> DataFrame:
         """The last failure of each phase and document, oldest first; malformed lines are left out."""
