@@ -40,7 +40,7 @@ def cdx_record(line: Column) -> Column:
     return F.when(
         data.isNotNull(),
         F.struct(
-            F.coalesce(data["url"], F.lit("")).alias("url"), F.coalesce(data["offset"], F.lit(0)).alias("offset"),
-            F.coalesce(data["length"], F.lit(0)).alias("length"), F.coalesce(data["filename"], F.lit("")).alias("warc_filename"),
+            F.coalesce(data["url"], F.lit("")).alias("url"), F.coalesce(data["offset"].try_cast("bigint"), F.lit(0)).alias("offset"),
+            F.coalesce(data["length"].try_cast("bigint"), F.lit(0)).alias("length"), F.coalesce(data["filename"], F.lit("")).alias("warc_filename"),
         ),
     )

@@ -67,11 +67,11 @@ def lang_filter(spark: SparkSession, sf: str) -> DataFrame:
     return _scored(spark, sf).where("lang_score >= 0.3").select("doc_id")
 
 
-@query(f"""SELECT lang, source, count(*) AS n_docs, count(*) FILTER (v >= 0.3) AS n_kept, avg(v) AS mean_score
+@query(f"""SELECT lang, source, count(*) AS n_docs, count(*) FILTER (v >= 0.3) AS n_kept, round(avg(v), 6) AS mean_score
   FROM (SELECT lang, source, {_SCORE} AS v FROM ({_SAMPLED})) GROUP BY lang, source""")
 def lang_summary(spark: SparkSession, sf: str) -> DataFrame:
     by = _scored(spark, sf).groupBy("lang", "source")
-    return by.agg(F.count("*").alias("n_docs"), F.count_if(F.col("lang_score") >= 0.3).alias("n_kept"), F.avg("lang_score").alias("mean_score"))
+    return by.agg(F.count("*").alias("n_docs"), F.count_if(F.col("lang_score") >= 0.3).alias("n_kept"), F.round(F.avg("lang_score"), 6).alias("mean_score"))
 
 
 @query("SELECT doc_id, left(sha256(text), 16) AS content_id FROM documents")

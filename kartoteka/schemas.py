@@ -43,7 +43,7 @@ REVIEW = (
 )
 PATTERNS = "fingerprint string, regex string, created_at timestamp, hit_count int, last_used timestamp"
 FAILURE = "timestamp timestamp, phase string, doc_id string, error_class string, message string, input_data string"
-CDX = "url string, offset bigint, length bigint, filename string"
+CDX = "url string, offset string, length string, filename string"
 
 SOURCES_OF_DOCUMENTS = ("local", "commoncrawl")
 DOC_TYPES = ("directory", "newspaper", "civil_record", "unknown")
