@@ -151,15 +151,14 @@ def _cut_keys(rows: DataFrame, table: DataFrame) -> DataFrame:
 
 @dataclass
 class Segments:
-    """The segment tables for all key lengths up to ``longest``; a few rows per length, so broadcast."""
+    """The segment tables for the key lengths that occur; a few rows per length, so broadcast."""
 
     index: DataFrame
     probe: DataFrame
 
     @classmethod
-    def upto(cls, spark: SparkSession, longest: int) -> Segments:
+    def of(cls, spark: SparkSession, lengths: list[int]) -> Segments:
         kind = "m int, n int, i int, at int, size int"
-        lengths = range(1, longest + 1)
         index = [(n, n, i, at, size) for n in lengths for i, (at, size) in enumerate(segments(n))]
         probe = [(m, *w) for m in lengths for w in windows(m)]
         return cls(spark.createDataFrame(index, kind), spark.createDataFrame(probe, kind))
@@ -192,7 +191,7 @@ def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: Data
     full = named.where("abbr IS NULL").groupBy("g", "skey").agg(F.min("node").alias("rep"))
     same = named.where("abbr IS NULL").join(full, ["g", "skey"]).select(F.col("node").alias("a"), F.col("rep").alias("b"))
     keys = full.select("g", "skey", F.col("rep").alias("node"))
-    tables = Segments.upto(persons.sparkSession, nodes.agg(F.max(F.length("skey"))).first()[0] or 1)
+    tables = Segments.of(persons.sparkSession, [r[0] for r in nodes.select(F.length("skey")).distinct().collect()])
     near = similar_keys(keys, keys, tables).select("a", "b")
     edges = same.unionByName(near)
     by_hash = parsed.select("id", _shape().alias("_s"))

@@ -123,6 +123,7 @@ class Dictionary:
                     if plain:
                         for n in range(2, len(f)):
                             self.prefixes[f[:n]].add(f)
+        self.longest = max(map(len, self.forms), default=0)
         for f in self.forms:
             for d in deletes(f, self.edits(f)):
                 self.near[d].add(f)
@@ -169,7 +170,7 @@ class Dictionary:
         for form, k, penalty in self.forms.get(folded, ()):
             found[k] = min(found.get(k, 9.0), penalty + (0.0 if form == core else 0.05))
         if not found:
-            edits = self.edits(folded)
+            edits = self.edits(folded) if len(folded) <= self.longest + MAX_EDITS else 0  # longer values are near no form
             for near in set().union(*(self.near.get(d, ()) for d in deletes(folded, edits))) if edits else ():
                 for form, k, penalty in self.forms[near]:
                     d = distance(core, form, MAX_EDITS + 0.3)
