@@ -109,7 +109,8 @@ def is_given(token: str) -> bool:
 
 @lru_cache(maxsize=200_000)
 def names_of(token: str) -> tuple[str, ...]:
-    """The given names that a typed token can stand for: known forms letter for letter, else the nearest known ones."""
+    """The given names that a typed token can stand for: known forms letter for letter, else the nearest known ones; at two
+    edits only if there is just one."""
     word = plain(token)
     exact, near = _tables()
     if word in exact:
@@ -121,4 +122,5 @@ def names_of(token: str) -> tuple[str, ...]:
             if (d := osa(word, form, most)) <= most:
                 found[exact[form]] = min(found.get(exact[form], 9), d)
     best = min(found.values(), default=0)
-    return tuple(sorted(n for n, d in found.items() if d == best))
+    names = tuple(sorted(n for n, d in found.items() if d == best))
+    return names if best < 2 or len(names) == 1 else ()

@@ -11,10 +11,12 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kartoteka.cluster import attach, cut
 from kartoteka.llm.given_names import FILLERS, is_given, latin, names_of, plain
 from kartoteka.llm.p4_forms import surface
+from kartoteka.llm.p6_places import beside
 from kartoteka.operators.graph import connected_components
 
 #: Spellings of one sound, and words that join the parts of a surname.
@@ -146,7 +148,7 @@ def windows(m: int) -> list[tuple[int, int, int, int]]:
 def _cut_keys(rows: DataFrame, table: DataFrame) -> DataFrame:
     """One row per entry of ``table`` (``m, n, i, at, size``, by key length): hash of given name, length, segment and text."""
     cut_at = rows.join(F.broadcast(table), F.length("skey") == F.col("m"))
-    return cut_at.select("skey", "node", F.xxhash64("g", "n", "i", F.substring("skey", F.col("at"), F.col("size"))).alias("seg"))
+    return cut_at.select("g", "skey", "node", F.xxhash64("g", "n", "i", F.substring("skey", F.col("at"), F.col("size"))).alias("seg"))
 
 
 @dataclass
@@ -165,21 +167,61 @@ class Segments:
 
 
 def similar_keys(index: DataFrame, probe: DataFrame, tables: Segments) -> DataFrame:
-    """``a, b, d``: nodes of ``index`` and ``probe`` (each ``g, skey, node``) with the same ``g`` whose keys are at most the
+    """``g, key_a, a, key_b, b, d``: nodes of ``index`` and ``probe`` (each ``g, skey, node``) with the same ``g`` whose keys are at most the
     allowed edits apart, the index key being the shorter or equally long one. Candidates come from the segment index and are
     verified by a banded edit distance."""
     left = _cut_keys(index, tables.index).select("seg", F.col("skey").alias("key_a"), F.col("node").alias("a"))
-    right = _cut_keys(probe, tables.probe).select("seg", F.col("skey").alias("key_b"), F.col("node").alias("b"))
+    right = _cut_keys(probe, tables.probe).select("seg", "g", F.col("skey").alias("key_b"), F.col("node").alias("b"))
     found = left.join(right, "seg").where("a <> b").drop("seg").distinct()
     allowed = F.when(F.length("key_a") < 5, 0).when(F.length("key_a") < 9, 1).otherwise(2)
-    return found.withColumn("d", F.levenshtein("key_a", "key_b", 2)).where((F.col("d") >= 0) & (F.col("d") <= allowed)).select("a", "b", "d")
+    return found.withColumn("d", F.levenshtein("key_a", "key_b", 2)).where((F.col("d") >= 0) & (F.col("d") <= allowed))
+
+
+#: Cost of a slip of the hand and of any other exchange of letters, and the most that two edits may cost together.
+SLIP, OTHER, MOST = 0.8, 1.5, 2.2
+#: Letters that are taken for each other by ear.
+BY_EAR = {frozenset(p) for p in ("ou", "sz", "cz", "wb", "dt", "bp", "gk", "ea", "iu", "cs", "lu", "mn")}
+
+
+def slip_cost(a: str, b: str) -> float:
+    """Edit distance in which letters beside each other on the keyboard, alike by ear, or exchanged cost less than others."""
+    before: list[float] = []
+    row = [float(i) for i in range(len(b) + 1)]
+    for x, ca in enumerate(a):
+        now = [row[0] + 1]
+        for y, cb in enumerate(b):
+            swap = 0.0 if ca == cb else SLIP if beside(ca, cb) or frozenset((ca, cb)) in BY_EAR else OTHER
+            best = min(row[y] + swap, row[y + 1] + 1, now[y] + 1)
+            if x and y and ca == b[y - 1] and a[x - 1] == cb:
+                best = min(best, before[y - 1] + SLIP)
+            now.append(best)
+        before, row = row, now
+    return row[-1]
+
+
+@F.pandas_udf(T.DoubleType())
+def _slips(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([slip_cost(x, y) for x, y in zip(a, b)], dtype="float64")
+
+
+def _plausible(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """Pairs of like surnames that can be one human being's: one side's given names are among the other's, or they share two; and
+    two edits must look like slips of the hand or the ear."""
+    a = full.select("g", F.col("skey").alias("key_a"), F.col("names").alias("names_a"))
+    b = full.select("g", F.col("skey").alias("key_b"), F.col("names").alias("names_b"))
+    both = pairs.join(a, ["g", "key_a"]).join(b, ["g", "key_b"])
+    shared = F.size(F.array_intersect("names_a", "names_b"))
+    agree = (shared >= 2) | (shared == F.least(F.size("names_a"), F.size("names_b")))
+    kept = both.where(agree)
+    return kept.where("d < 2").unionByName(kept.where("d = 2").where(_slips("key_a", "key_b") <= MOST))
 
 
 def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: DataFrame | None = None) -> DataFrame:
     """``id, class_id``: rows of one human being share a class, whose id is its smallest row id.
 
     Rows are linked if they share a given name (short, foreign and mistyped forms resolved) and their surnames, by sound and
-    without accents, are at most two edits apart (one below nine letters, none below five). Shortened surnames are linked
+    without accents, are at most two edits apart (one below nine letters, none below five); two edits must look like slips, and
+    the given names must not contradict each other. Shortened surnames are linked
     with the only class they can stand for. Rows with initials alone, or no given name, join a class only if exactly one
     class fits best. ``groups`` (``group_id, person_id``) adds confirmed links. Rows without a surname, and rows that nothing
     fits, are a class of their own; a null id is left out. Spellings, not rows, are compared, so equal rows cost nothing.
@@ -188,11 +230,12 @@ def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: Data
     shape = ["skey", "givens", "inits", "abbr"]
     nodes = cut(parsed.groupBy(*shape).agg(F.min("id").alias("node"), F.count("*").alias("n")))
     named = nodes.where("size(givens) > 0").select("skey", "node", F.explode("givens").alias("g"), "abbr", "givens")
-    full = named.where("abbr IS NULL").groupBy("g", "skey").agg(F.min("node").alias("rep"))
+    full = named.where("abbr IS NULL").groupBy("g", "skey").agg(F.min("node").alias("rep"), F.array_distinct(F.flatten(F.collect_set("givens"))).alias("names"))
+    full = cut(full)  # names: all given names of one surname's rows that share one, a few
     same = named.where("abbr IS NULL").join(full, ["g", "skey"]).select(F.col("node").alias("a"), F.col("rep").alias("b"))
     keys = full.select("g", "skey", F.col("rep").alias("node"))
     tables = Segments.of(persons.sparkSession, [r[0] for r in nodes.select(F.length("skey")).distinct().collect()])
-    near = similar_keys(keys, keys, tables).select("a", "b")
+    near = _plausible(similar_keys(keys, keys, tables), full).select("a", "b")
     edges = same.unionByName(near)
     by_hash = parsed.select("id", _shape().alias("_s"))
     sizes = nodes.select(_shape().alias("_s"), "node", "n")

@@ -61,7 +61,8 @@ def deletes(word: str, most: int) -> set[str]:
     return out
 
 
-def _beside(a: str, b: str) -> bool:
+def beside(a: str, b: str) -> bool:
+    """Whether two letters are neighbours on a keyboard."""
     for row in KEYS:
         if a in row and b in row:
             return abs(row.index(a) - row.index(b)) == 1
@@ -73,7 +74,7 @@ def _cost(a: str, b: str) -> float:
         return 0.0
     if fold(a) == fold(b):
         return 0.1
-    return 0.8 if _beside(fold(a), fold(b)) else 1.0
+    return 0.8 if beside(fold(a), fold(b)) else 1.0
 
 
 def distance(a: str, b: str, most: float) -> float:
