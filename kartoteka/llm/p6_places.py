@@ -179,11 +179,11 @@ class Dictionary:
                         d = min(1.0 + distance(core, form[:i] + form[i + 1 :], 1.0) for i in range(len(form)))
                     if d < 9 and (d <= self.edits(near) + 0.3):
                         found[k] = min(found.get(k, 9.0), penalty + d)
-        if word.endswith(".") and len(folded) >= 3:  # cut short
+        if (word.endswith(".") and len(folded) >= 3) or (not found and len(folded) >= 4):  # cut short, the dot perhaps lost
             for f in self.prefixes.get(folded, ()):
                 for _, k, penalty in self.forms[f]:
                     if penalty < 0.15:
-                        found[k] = min(found.get(k, 9.0), penalty + 1.0)
+                        found[k] = min(found.get(k, 9.0), penalty + (1.0 if word.endswith(".") else 1.4))
         if "-" in core:  # contracted
             head, _, tail = folded.rpartition("-")
             if len(head) >= 2 and tail:
