@@ -25,8 +25,8 @@ SOFT = "¬­=‐"
 DASH = r"—–\-"
 #: Letters of a word as printed, the signs that stand for letters included.
 GLYPH = r"\p{L}\p{M}\p{N}|§£@¢"
-#: A word is rare up to so many texts, and its variant frequent from FREQUENT times as many texts and FLOOR texts on.
-RARE, FREQUENT, FLOOR = 60, 12, 12
+#: A word is rare beside a variant that FREQUENT times as many texts have, FLOOR texts at least; shares, so at any size.
+FREQUENT, FLOOR = 12, 12
 #: A running head is believed from so many texts on that show it in a layout that no sentence has.
 HEADS = 2
 #: At most so many of the most frequent words are broadcast, each holding that part of all words or more.
@@ -135,7 +135,7 @@ def _anagram(text: str) -> int:
     return sum(ord(c) ** 5 for c in text)
 
 
-def corrections(lex: DataFrame, rare: int = RARE, frequent: int = FREQUENT, floor: int = FLOOR) -> DataFrame:
+def corrections(lex: DataFrame, frequent: int = FREQUENT, floor: int = FLOOR) -> DataFrame:
     """``word, variant``: rare words that one confusion turns into a much more frequent word; the best variant each.
 
     An equi-join of anagram hashes: rare word's hash, shifted by the confusion, equals the frequent word's hash.
@@ -143,7 +143,7 @@ def corrections(lex: DataFrame, rare: int = RARE, frequent: int = FREQUENT, floo
     """
     lex = lex.where("length(word) >= 4 AND length(word) <= 40")
     table = F.array(*[F.struct(F.lit(a).alias("seen"), F.lit(b).alias("true"), F.lit(_anagram(b) - _anagram(a)).alias("shift")) for a, b in CONFUSIONS])
-    low = lex.where((F.col("n") <= rare) & F.col("word").rlike(r"\p{L}")).select("word", F.col("n").alias("n_word"), anagram(F.col("word")).alias("hash"))
+    low = lex.where(F.col("word").rlike(r"\p{L}")).select("word", F.col("n").alias("n_word"), anagram(F.col("word")).alias("hash"))
     low = low.withColumn("c", F.explode(F.filter(table, lambda c: F.contains(F.col("word"), c["seen"]))))
     low = low.select("word", "n_word", "c.seen", "c.true", (F.col("hash") + F.col("c.shift")).alias("hash"))
     high = lex.where((F.col("n") >= floor) & F.col("word").rlike(r"^[\p{L}-]+$")).select(F.col("word").alias("variant"), F.col("n").alias("n_variant"), anagram(F.col("word")).alias("hash"))
@@ -171,13 +171,14 @@ def _analyse(texts: DataFrame) -> tuple[DataFrame, _Corrections, DataFrame]:
     joined = cut(without_edges(mark_lines(texts, running_heads(texts))).withColumn("joined", join_lines(F.col("body"))))
     lex = cut(lexicon(joined))
     total = lex.agg(F.sum("n")).first()[0] or 0
-    hot = lex.where(F.col("n") >= max(RARE + 1, -(-total // HOT_WORDS))).select("word")  # at most HOT_WORDS words
-    return joined, _Corrections(cut(corrections(lex)), hot), _open_hyphens(joined, lex)
+    fixes = cut(corrections(lex))
+    hot = lex.where(F.col("n") >= max(1, -(-total // HOT_WORDS))).join(fixes, "word", "left_anti").select("word")  # at most HOT_WORDS words
+    return joined, _Corrections(fixes, cut(hot)), _open_hyphens(joined, lex)
 
 
 @dataclass
 class _Corrections:
-    """The corrections, and the frequent words that never have one."""
+    """The corrections, and the frequent words that have none."""
 
     fixes: DataFrame
     hot: DataFrame
