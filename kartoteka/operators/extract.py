@@ -21,16 +21,15 @@ CACHED, KNOWN, UNKNOWN = 0.8, 0.6, 0.4
 #: Entries of the same layout that a new pattern is tried on.
 PEERS = 5
 
-# What the model is asked.
+#: What the model is asked; the reply must hold an object with the six fields, or one pattern with groups of their names.
+FIELDS = "surname, given_names, birth_date, death_date, locations, roles"
 EXTRACTION_PROMPT = (
-    "Extract biographical information from this Polish directory entry.\nReturn ONLY a JSON object with these fields:\n"
-    "- surname (string)\n- given_names (list of strings)\n- birth_date (string or null, format: YYYY or YYYY-MM-DD)\n"
-    "- death_date (string or null)\n- locations (list of strings)\n- roles (list of strings, e.g. job titles)\n\nEntry text:\n"
+    f"Below is one entry of a Polish directory. Answer with a single JSON object with the keys {FIELDS}. given_names, locations and "
+    "roles are lists of strings, the others strings or null; dates are written as a year or as year-month-day.\n\n"
 )
 PATTERN_PROMPT = (
-    "Given this Polish directory entry and the extracted data, write a Python regex pattern with named groups that would extract "
-    "the same fields from similarly structured entries.\nThe regex should use these named groups: surname, given_names, birth_date, "
-    "death_date, locations, roles.\nReturn ONLY the raw regex string, no explanation.\n\n"
+    f"Below are one entry of a Polish directory and what was found in it. Answer with one Python regular expression and nothing "
+    f"else; it must find the same in entries of the same structure, with groups named {FIELDS}.\n\n"
 )
 
 
