@@ -73,7 +73,7 @@ def declined(name: str) -> set[str]:
     forms = {name}
     if name.endswith("a"):
         stem = name[:-1]
-        forms |= {stem + "ę", stem + "ą", stem + "o"}
+        forms |= {stem + "ę", stem + "ą"}  # without the vocative, which letters alone have: Anno is Latin, too
         if name.endswith("ia") and not name.endswith(("sia", "zia", "nia", "cia")) or name.endswith(("ria", "nia", "lia", "bia")):
             forms |= {stem + "i"}
         elif name.endswith(("ia", "la")):

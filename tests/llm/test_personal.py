@@ -27,7 +27,7 @@ def found(text):
         ("Akt dotyczy Ewy Mepęskełczyk oraz Grapąskewskiego Adama", [("name", "Ewy Mepęskełczyk"), ("name", "Grapąskewskiego Adama")]), ("Bekrowski, Jan, wdowa", [("name", "Bekrowski, Jan")]),
         ("J. K. Kwymokluwicka", [("name", "J. K. Kwymokluwicka")]), ("anna zdegółulkuk, wdowa", [("name", "anna zdegółulkuk")]), ("Kuzynka Katarzyna Brubópludło ma", [("name", "Katarzyna Brubópludło")]),
         ("Kuzynka KRYGENOWSKA Katarzyna ma", [("name", "KRYGENOWSKA Katarzyna")]), ("Weronika\nTrosąpyrowicz", [("name", "Weronika\nTrosąpyrowicz")]), ("Weronika\n\nTrosąpyrowicz", []),
-        ("Dom handlowy Dybrużenczyk i Synowie", []), ("w parafii św. Anny w miejscowości Tyniglin", []), ("Jan", []), ("Bekrowski", []), ("", []),
+        ("Dom handlowy Dybrużenczyk i Synowie", []), ("w parafii św. Anny w miejscowości Tyniglin", []), ("Anno Domini 1864 die 5 mensis", []), ("Jan", []), ("Bekrowski", []), ("", []),
     ],
 )
 def test_mentions(text, mentions):
