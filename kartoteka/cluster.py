@@ -35,6 +35,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def hot_at(n_rows: int) -> int:
     """Rows from which a class is hot. At most ``HOT_KEYS`` classes of a table of ``n_rows`` rows can reach it."""
     return max(HOT_ROWS, -(-n_rows // HOT_KEYS))

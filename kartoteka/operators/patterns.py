@@ -6,10 +6,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kartoteka.cluster import path_exists
+from kartoteka.schemas import PATTERNS
+
 #: A cache up to this many entries is broadcast to the entries it is looked up for.
 BROADCAST_ENTRIES = 100_000
 
@@ -35,6 +38,19 @@ def put(cache: DataFrame, entries: DataFrame) -> DataFrame:
     return both.groupBy("fingerprint").agg(pick.alias("e")).select("e.*")
 
 
+def save(cache: DataFrame, folder: str) -> None:
+    """Write the cache as JSON lines."""
+    cache.write.mode("overwrite").json(folder)
+
+
+def load(spark: SparkSession, folder: str) -> DataFrame:
+    """The cache written by :func:`save`, without malformed lines and invalid patterns; empty if the folder is missing."""
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], PATTERNS)
+    rows = spark.read.schema(PATTERNS).option("mode", "DROPMALFORMED").json(folder)
+    return rows.where("fingerprint IS NOT NULL").where(compiles("regex"))
+
+
 def remove(cache: DataFrame, fingerprints: DataFrame) -> DataFrame:
     return cache.join(fingerprints.select("fingerprint"), "fingerprint", "left_anti")
 

@@ -44,14 +44,15 @@ def similar_texts(names: DataFrame, threshold: float) -> DataFrame:
 
 
 def leaders(names: DataFrame, pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """``text, seq`` of the names that become persons: those without a similar leader that came before.
+    """``text, seq`` of the names that become persons: those without a similar leader that came before. Names with a negative
+    ``seq`` are stored already and lead in any case.
 
     Decided in rounds: a name all of whose earlier similar names are known to follow someone leads; a name with an earlier
     leader follows. Every round decides at least the earliest open names of all chains at once; each is a written table.
     """
     both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pairs.select(F.col("b").alias("x"), F.col("a").alias("y")))
     x, y = names.select(F.col("text").alias("x"), F.col("seq").alias("sx")), names.select(F.col("text").alias("y"), F.col("seq").alias("sy"))
-    earlier = cut(both.join(x, "x").join(y, "y").where("sy < sx").select("x", "y"))  # y came before x
+    earlier = cut(both.join(x, "x").join(y, "y").where("sy < sx AND sx >= 0").select("x", "y"))  # y came before x; stored names lead
     free = names.join(earlier.select(F.col("x").alias("text")).distinct(), "text", "left_anti")
     leading = cut(free)
     open_ = earlier
@@ -72,15 +73,24 @@ def leaders(names: DataFrame, pairs: DataFrame, max_rounds: int = 60) -> DataFra
     raise RuntimeError(f"names are still open after {max_rounds} rounds")
 
 
-def resolve(entities: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """``seq, surname, person, is_new, merge_confidence`` for entities (``seq bigint`` unique, ``surname`` in its plain form) taken in
-    the order of ``seq`` into an empty store.
+def resolve(entities: DataFrame, threshold: float = 0.85, store: DataFrame | None = None) -> DataFrame:
+    """``seq, surname, person, is_new, merge_confidence`` for entities (``seq bigint`` unique and not negative, ``surname`` in its plain
+    form) taken in the order of ``seq`` into a store: an empty one, or persons with ``id, surname`` (plain form, too).
+
+    With a store, ``person`` is a stored id where one matches (of equal surnames the smallest), and a new person's is
+    ``largest id + 1 + seq``.
 
     The first occurrence of a leading name is a new person (its ``person`` is its own ``seq``); later equal names merge with
     confidence 1, similar ones with the most similar leader so far (ties: the earlier). Null surnames count as empty ones.
     """
     rows = entities.select("seq", F.coalesce("surname", F.lit("")).alias("text"))
-    names = cut(rows.groupBy("text").agg(F.min("seq").alias("seq"), F.count("*").alias("n")))
+    names = rows.groupBy("text").agg(F.min("seq").alias("seq"), F.count("*").alias("n"))
+    base = 0
+    if store is not None:
+        base = (store.agg(F.max("id")).first()[0] or 0) + 1
+        stored = store.groupBy(F.coalesce("surname", F.lit("")).alias("text")).agg((F.min("id") - base).alias("seq"), F.lit(0).cast("bigint").alias("n"))
+        names = names.unionByName(stored).groupBy("text").agg(F.min("seq").alias("seq"), F.sum("n").alias("n"))
+    names = cut(names)
     pairs = cut(similar_texts(names.where("text <> ''"), threshold))
     lead = cut(leaders(names.select("text", "seq"), pairs))
     n = entities.count()
@@ -93,7 +103,15 @@ def resolve(entities: DataFrame, threshold: float = 0.85) -> DataFrame:
     fits = F.filter("options", lambda o: o["person"] < F.col("seq"))
     best = F.reduce(fits, F.struct(F.lit(-1.0).alias("score"), F.lit(0).cast("bigint").alias("person")), lambda acc, o: F.when((o["score"] > acc["score"]) | ((o["score"] == acc["score"]) & (o["person"] < acc["person"])), F.struct(o["score"].alias("score"), o["person"].alias("person"))).otherwise(acc))
     fuzzy = later.withColumn("best", best).select("seq", F.col("text").alias("surname"), F.col("best.person").alias("person"), F.lit(False).alias("is_new"), F.col("best.score").alias("merge_confidence"))
-    return exact.unionByName(fuzzy)
+    return exact.unionByName(fuzzy).withColumn("person", F.col("person") + base)
+
+
+def insert_persons(persons: DataFrame, resolved: DataFrame, entities: DataFrame) -> DataFrame:
+    """``persons`` (``id, surname, given_names, surname_normalized, created_at, updated_at``) plus the new ones of ``resolved``, whose
+    ``entities`` have ``seq, surname, given_names``; both times are now."""
+    new = resolved.where("is_new").select("seq", F.col("person").alias("id"), F.col("surname").alias("surname_normalized")).join(entities.select("seq", "surname", "given_names"), "seq")
+    now = F.current_timestamp()
+    return persons.unionByName(new.select("id", "surname", "given_names", "surname_normalized", now.alias("created_at"), now.alias("updated_at")))
 
 
 def jaccard(a: Column, b: Column) -> Column:

@@ -8,15 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kartoteka.cluster import path_exists
 from kartoteka.errors import CheckpointError
 from kartoteka.schemas import FAILURE, column_names
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
 @dataclass(frozen=True)
 class PhaseStore:
     """One folder per phase; each write is an own committed batch, so results of other documents stay."""
@@ -33,7 +29,7 @@ class PhaseStore:
 
     def load(self, phase: str, schema: T.StructType) -> DataFrame:
         """The newest rows of each document; empty if the phase has none."""
-        if not _path_exists(self.spark, self.path(phase)):
+        if not path_exists(self.spark, self.path(phase)):
             return self.spark.createDataFrame([], schema)
         full = T.StructType([*schema.fields, T.StructField("_saved_at", T.TimestampType())])
         rows = self.spark.read.schema(full).parquet(self.path(phase))
@@ -70,7 +66,7 @@ class DeadLetters:
 
     def failures(self, phase: str | None = None) -> DataFrame:
         """The last failure of each phase and document, oldest first; malformed lines are left out."""
-        if not _path_exists(self.spark, self.folder):
+        if not path_exists(self.spark, self.folder):
             return self.spark.createDataFrame([], FAILURE)
         rows = self.spark.read.schema(FAILURE).option("mode", "DROPMALFORMED").json(self.folder)
         return last_failures(rows if phase is None else rows.where(F.col("phase") == phase)).orderBy("timestamp")

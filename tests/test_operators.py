@@ -190,6 +190,50 @@ def test_resolution_like_sequential(spark, t):
     assert all((a[3] is None and b[3] is None) or abs(a[3] - b[3]) < 1e-12 for a, b in zip(got, sequential(names, t)))
 
 
+@pytest.mark.parametrize("t", [0.6, 0.85])
+def test_resolution_into_a_store(spark, t):
+    random.seed(9)
+    stored = ["".join(random.choices("abo", k=random.randrange(2, 8))) for _ in range(25)]
+    names = ["".join(random.choices("abo", k=random.randrange(1, 8))) for _ in range(40)]
+    people, want = [(i + 10, n) for i, n in enumerate(stored)], []
+    for seq, name in enumerate(names):
+        if equal := [i for i, s in people if s == name]:
+            want.append((seq, equal[0], False))
+            continue
+        best = max((resolve.indel_similarity(name, s), -i) for i, s in people)
+        if best[0] >= t:
+            want.append((seq, -best[1], False))
+        else:
+            people.append((35 + seq, name))
+            want.append((seq, 35 + seq, True))
+    df = spark.createDataFrame(list(enumerate(names)), "seq bigint, surname string")
+    store = spark.createDataFrame([(i + 10, n) for i, n in enumerate(stored)], "id bigint, surname string")
+    got = resolve.resolve(df, t, store)
+    assert [tuple(r) for r in got.orderBy("seq").select("seq", "person", "is_new").collect()] == want
+    persons = store.selectExpr("id", "surname", "array('x') given_names", "surname surname_normalized", "current_timestamp() created_at", "current_timestamp() updated_at")
+    after = resolve.insert_persons(persons, got, df.selectExpr("seq", "surname", "array('y') given_names"))
+    assert sorted((r.id, r.surname_normalized) for r in after.collect()) == sorted(people)
+
+
+def test_cache_files(spark, tmp_path, rows):
+    kind = "fingerprint string, regex string, created_at timestamp, hit_count int, last_used timestamp"
+    assert patterns.load(spark, f"{tmp_path}/none").count() == 0
+    patterns.save(spark.createDataFrame([("fp1", "a+", NOW, 1, None), ("fp2", "(", NOW, 0, None)], kind), f"{tmp_path}/c")
+    (tmp_path / "c" / "bad.json").write_text("{broken\n")
+    assert rows(patterns.load(spark, f"{tmp_path}/c"), "fingerprint", "hit_count") == [("fp1", 1)]
+
+
+def test_logs(tmp_path):
+    import json
+
+    from kartoteka.logs import phase_logger
+
+    log = phase_logger("phase9", tmp_path)
+    log.info("done", extra={"doc_id": "d1"})
+    line = json.loads((tmp_path / "pipeline.jsonl").read_text())
+    assert (line["phase_name"], line["doc_id"], line["message"], line["level"]) == ("phase9", "d1", "done", "INFO")
+
+
 def test_namesake(spark, rows):
     left = spark.createDataFrame([(1, "a", ["Jan"]), (2, "a", []), (3, "z", ["Jan"])], "seq bigint, surname string, given array<string>")
     right = spark.createDataFrame([(10, "a", ["Ewa"]), (11, "a", ["Jan", "Ewa"]), (12, "a", ["Jan", "Ewa"])], "id bigint, surname string, given array<string>")
