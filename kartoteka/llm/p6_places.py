@@ -241,6 +241,7 @@ def _resolver(entries: list[tuple]):
             found = [(p, c) if c <= LIMIT else (-1, float("inf")) for p, c in found]
             batch["place_id"] = [found[c][0] for c in codes]
             batch["penalty"] = [found[c][1] for c in codes]
+            batch["exact"] = False
             yield batch
 
     return run
@@ -252,8 +253,10 @@ def named(value: Column) -> Column:
 
 
 def map_to_reference(df: DataFrame, id_col: str, value_col: str, reference: DataFrame, ref_id: str = "place_id", block: int = BLOCK) -> DataFrame:
-    """``id, value, place_id, penalty`` for each row whose value has a letter or digit; ``place_id`` is -1 and ``penalty``
-    infinite where the value names no entry of ``reference`` (``place_id, name, district, aliases``).
+    """``id, value, place_id, penalty, exact`` for each row whose value has a letter or digit; ``place_id`` is -1 and
+    ``penalty`` infinite where the value names no entry of ``reference`` (``place_id, name, district, aliases``). ``exact``
+    tells whether the value is a name character for character; a penalty of 0 does not, as other letter case, spaces,
+    streets and matching districts cost nothing.
 
     Values equal to a name are matched in the JVM. The rest is parsed (street, district, kind of settlement), looked up in a
     symmetric-delete dictionary for two edits and ranked by weighted distance, second word, district and how often the entry
@@ -269,9 +272,9 @@ def map_to_reference(df: DataFrame, id_col: str, value_col: str, reference: Data
     hint = F.broadcast if small else (lambda d: d)
     frequency = rows.join(hint(names), rows["value"] == names["name"]).groupBy("place_id").count()
     ref = ref.join(frequency, "place_id", "left").select("place_id", "name", "district", "aliases", F.coalesce("count", F.lit(0)).alias("n"))
-    exact = rows.join(hint(names), rows["value"] == names["name"]).select("id", "value", names["place_id"], F.lit(0.0).alias("penalty"))
+    exact = rows.join(hint(names), rows["value"] == names["name"]).select("id", "value", names["place_id"], F.lit(0.0).alias("penalty"), F.lit(True).alias("exact"))
     other = rows.join(hint(names.select("name")), rows["value"] == F.col("name"), "left_anti")
-    schema = f"id {dict(rows.dtypes)['id']}, value string, place_id bigint, penalty double"
+    schema = f"id {dict(rows.dtypes)['id']}, value string, place_id bigint, penalty double, exact boolean"
     if small:
         entries = [tuple(r) for r in ref.orderBy("place_id").collect()]
         return exact.unionByName(other.mapInPandas(_resolver(entries), schema))
@@ -282,7 +285,7 @@ def map_to_reference(df: DataFrame, id_col: str, value_col: str, reference: Data
         one = values.select(F.lit(0).cast("bigint").alias("id"), "value").mapInPandas(_resolver([tuple(r) for r in part.collect()]), schema.replace(schema.split(",")[0], "id bigint"))
         found = one if found is None else found.unionByName(one)
     best = found.groupBy("value").agg(F.min_by("place_id", F.struct("penalty", "place_id")).alias("place_id"), F.min("penalty").alias("penalty"))
-    mapped = attach(other, values.join(best, "value"), ["value"], "n", df.count()).select("id", "value", "place_id", "penalty")
+    mapped = attach(other, values.join(best, "value"), ["value"], "n", df.count()).select("id", "value", "place_id", "penalty", F.lit(False).alias("exact"))
     return exact.unionByName(mapped)
 
 

@@ -67,7 +67,7 @@ def _places(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    return _places(spark, sf).where("penalty > 0").select("id", "place_id")
+    return _places(spark, sf).where("NOT exact").select("id", "place_id")
 
 
 def p6_misses(spark: SparkSession, sf: str) -> DataFrame:

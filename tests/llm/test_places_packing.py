@@ -7,7 +7,7 @@ import pytest
 from kartoteka.llm import p6_places as p6
 from kartoteka.llm import p7_packing as p7
 from kartoteka.llm import p8_mixing as p8
-from kartoteka.llm import tokens
+from kartoteka.llm import queries, tokens
 
 REF = [
     (1, "Jasutziska", "powiat stadoltowski", []), (2, "Przenardowo Górne", "powiat x", []), (3, "Przenardowo Dolne", "powiat x", []), (4, "Chadedwowo", "powiat y", ["Chadburg"]),
@@ -38,6 +38,16 @@ def test_misses_and_empty(spark, rows):
     assert rows(p6.map_to_reference(df, "id", "location", ref.limit(0)), "place_id") == [(-1,)] * 3
 
 
+@pytest.mark.parametrize("block", [20_000, 3])
+def test_found_leaves_out_only_names_character_for_character(spark, monkeypatch, tmp_path, block):
+    values = ["Jasutziska", "JASUTZISKA", "Jasutziska ", "Jasutziska, ul. Długa 5", "Jasutziska (pow. stadoltowski)", "w Jasutziska", "zzz", None, " ?"]
+    spark.createDataFrame(list(enumerate(values)), "id bigint, location string").write.parquet(f"{tmp_path}/life_events.parquet")
+    spark.createDataFrame(REF, REF_KIND).write.parquet(f"{tmp_path}/place_ref.parquet")
+    real = p6.map_to_reference
+    monkeypatch.setattr(p6, "map_to_reference", lambda *a: real(*a, block=block))
+    assert {r.id: r.place_id for r in queries.p6_found(spark, str(tmp_path)).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: -1}
+
+
 def test_weighted_distance():
     assert p6.distance("lodz", "łódź", 2) < 0.5 < p6.distance("kot", "kos", 2) and p6.distance("ab", "ba", 2) < 1 and p6.distance("kot", "pies", 2) == float("inf")
 
