@@ -87,6 +87,37 @@ def test_plan_holds_every_item_and_is_near_the_bound():
     assert bound <= used + 1e-6 and used <= 1.01 * bound + 1
 
 
+def test_plan_of_few_and_of_skewed_lengths():
+    few, skewed = {52: 10, 34: 8, 32: 12, 29: 10, 46: 4, 38: 12}, {257: 5000, 300: 4000, 100: 3000, 201: 2000}
+    for histogram, capacity, most in ((few, 100, 22), (skewed, 512, 9000), ({257: 10**9}, 512, 10**9)):
+        configs, bound = p7.plan(histogram, capacity)
+        held = Counter()
+        for config, times in configs:
+            assert sum(n * k for n, k in config.items()) <= capacity
+            for n, k in config.items():
+                held[n] += k * times
+        assert held == histogram and bound <= sum(t for _, t in configs) <= most
+
+
+def test_best_fit_takes_items_of_one_length_together():
+    random.seed(4)
+    for _ in range(100):
+        capacity = random.randrange(5, 60)
+        histogram = {random.randrange(1, capacity): random.randrange(1, 12) for _ in range(6)}
+        space, held = [], Counter()
+        for length in sorted(histogram, reverse=True):
+            for _ in range(histogram[length]):
+                fits = [f for f in space if f >= length]
+                if fits:
+                    space.remove(min(fits))
+                space.append(min(fits, default=capacity) - length)
+        found = p7.best_fit(histogram, capacity)
+        for config, times in found:
+            for n, k in config.items():
+                held[n] += k * times
+        assert held == histogram and len(space) == sum(t for _, t in found) and len(found) <= 2 * len(histogram) + 1
+
+
 def check_packed(packed, wanted, capacity):
     held, sizes = {}, Counter()
     for r in packed:
