@@ -129,6 +129,11 @@ def segments(n: int) -> list[tuple[int, int]]:
     return [(1, head // 2), (head // 2 + 1, head - head // 2), (head + 1, tail)]
 
 
+#: Segment number of keys with one edit, for an exchange of the letters on both sides of the cut; within a segment an exchange
+#: leaves the other one whole.
+SWAP = -1
+
+
 def windows(m: int) -> list[tuple[int, int, int, int]]:
     """``(n, segment, start, length)`` of every substring of a key of length ``m`` that can equal a segment of a key of length
     ``n <= m`` (multi-match-aware selection)."""
@@ -145,10 +150,29 @@ def windows(m: int) -> list[tuple[int, int, int, int]]:
     return out
 
 
+def _piece(at: Column, size: Column | int) -> Column:
+    return F.substring("skey", at, F.lit(size) if isinstance(size, int) else size)
+
+
 def _cut_keys(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """One row per entry of ``table`` (``m, n, i, at, size``, by key length): hash of given name, length, segment and text."""
+    """One row per entry of ``table`` (``m, n, i, at, size``, by key length): hash of given name, length, segment and text. The
+    text of segment ``SWAP`` is the whole key, the two letters at ``at`` in order."""
     cut_at = rows.join(F.broadcast(table), F.length("skey") == F.col("m"))
-    return cut_at.select("g", "skey", "node", F.xxhash64("g", "n", "i", F.substring("skey", F.col("at"), F.col("size"))).alias("seg"))
+    at = F.col("at")
+    pair = _piece(at, 1), _piece(at + 1, 1)
+    whole = F.concat(_piece(F.lit(1), at - 1), F.least(*pair), F.greatest(*pair), _piece(at + 2, F.length("skey")))
+    text = F.when(F.col("i") == SWAP, whole).otherwise(_piece(at, F.col("size")))
+    return cut_at.select("g", "skey", "node", F.xxhash64("g", "n", "i", text).alias("seg"))
+
+
+def exchanged(a: str, b: str) -> Column:
+    """Whether one exchange of neighbouring letters turns column ``a`` into ``b``."""
+    x = F.col(a)
+
+    def swapped(p: Column) -> Column:
+        return F.concat(F.substring(x, F.lit(1), p - 1), F.substring(x, p + 1, F.lit(1)), F.substring(x, p, F.lit(1)), F.substring(x, p + 2, F.length(x)))
+
+    return F.exists(F.sequence(F.lit(1), F.length(x) - 1), lambda p: swapped(p) == F.col(b))
 
 
 @dataclass
@@ -163,18 +187,20 @@ class Segments:
         kind = "m int, n int, i int, at int, size int"
         index = [(n, n, i, at, size) for n in lengths for i, (at, size) in enumerate(segments(n))]
         probe = [(m, *w) for m in lengths for w in windows(m)]
-        return cls(spark.createDataFrame(index, kind), spark.createDataFrame(probe, kind))
+        swap = [(n, n, SWAP, segments(n)[0][1], 2) for n in lengths if edits(n) == 1]
+        return cls(spark.createDataFrame(index + swap, kind), spark.createDataFrame(probe + swap, kind))
 
 
-def similar_keys(index: DataFrame, probe: DataFrame, tables: Segments) -> DataFrame:
+def similar_keys(index: DataFrame, probe: DataFrame, tables: Segments, swaps: bool = False) -> DataFrame:
     """``g, key_a, a, key_b, b, d``: nodes of ``index`` and ``probe`` (each ``g, skey, node``) with the same ``g`` whose keys are at most the
-    allowed edits apart, the index key being the shorter or equally long one. Candidates come from the segment index and are
+    allowed edits apart, or with ``swaps`` one exchange of neighbouring letters (``d`` = 2) where one is allowed, the index key being the shorter or equally long one. Candidates come from the segment index and are
     verified by a banded edit distance."""
     left = _cut_keys(index, tables.index).select("seg", F.col("skey").alias("key_a"), F.col("node").alias("a"))
     right = _cut_keys(probe, tables.probe).select("seg", "g", F.col("skey").alias("key_b"), F.col("node").alias("b"))
     found = left.join(right, "seg").where("a <> b").drop("seg").distinct()
     allowed = F.when(F.length("key_a") < 5, 0).when(F.length("key_a") < 9, 1).otherwise(2)
-    return found.withColumn("d", F.levenshtein("key_a", "key_b", 2)).where((F.col("d") >= 0) & (F.col("d") <= allowed))
+    one_swap = (allowed == 1) & (F.col("d") == 2) & (F.length("key_a") == F.length("key_b")) & exchanged("key_a", "key_b")
+    return found.withColumn("d", F.levenshtein("key_a", "key_b", 2)).where((F.col("d") >= 0) & ((F.col("d") <= allowed) | (one_swap if swaps else F.lit(False))))
 
 
 #: Cost of a slip of the hand and of any other exchange of letters, and the most that two edits may cost together.
@@ -220,7 +246,7 @@ def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: Data
     """``id, class_id``: rows of one human being share a class, whose id is its smallest row id.
 
     Rows are linked if they share a given name (short, foreign and mistyped forms resolved) and their surnames, by sound and
-    without accents, are at most two edits apart (one below nine letters, none below five); two edits must look like slips, and
+    without accents, are at most two edits apart (one, or one exchange of neighbouring letters, below nine letters; none below five); two edits must look like slips, and
     the given names must not contradict each other. Shortened surnames are linked
     with the only class they can stand for. Rows with initials alone, or no given name, join a class only if exactly one
     class fits best. ``groups`` (``group_id, person_id``) adds confirmed links. Rows without a surname, and rows that nothing
@@ -235,7 +261,7 @@ def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: Data
     same = named.where("abbr IS NULL").join(full, ["g", "skey"]).select(F.col("node").alias("a"), F.col("rep").alias("b"))
     keys = full.select("g", "skey", F.col("rep").alias("node"))
     tables = Segments.of(persons.sparkSession, [r[0] for r in nodes.select(F.length("skey")).distinct().collect()])
-    near = _plausible(similar_keys(keys, keys, tables), full).select("a", "b")
+    near = _plausible(similar_keys(keys, keys, tables, swaps=True), full).select("a", "b")
     edges = same.unionByName(near)
     by_hash = parsed.select("id", _shape().alias("_s"))
     sizes = nodes.select(_shape().alias("_s"), "node", "n")
@@ -269,8 +295,8 @@ def _weak_links(weak: DataFrame, firm: DataFrame, tables: Segments) -> DataFrame
     firsts = firm.select("root", "skey", F.explode(F.array_distinct(F.concat(F.transform("givens", lambda x: F.substring(x, 1, 1)), F.col("inits")))).alias("g"))
     heads = firsts.groupBy("g", "skey", "root").agg(F.lit(1).alias("_"))
     ids = heads.select("g", "skey", F.col("root").alias("node"))
-    near = similar_keys(ids, letters, tables).select(F.col("b").alias("node"), F.col("a").alias("to"), "d")
-    near = near.unionByName(similar_keys(letters, ids, tables).select(F.col("a").alias("node"), F.col("b").alias("to"), "d"))
+    near = similar_keys(ids, letters, tables, swaps=True).select(F.col("b").alias("node"), F.col("a").alias("to"), "d")
+    near = near.unionByName(similar_keys(letters, ids, tables, swaps=True).select(F.col("a").alias("node"), F.col("b").alias("to"), "d"))
     bare = weak.where("size(inits) = 0").select("node", "skey").join(firm.select("skey", F.col("root").alias("to")).distinct(), "skey")
     fits = near.unionByName(bare.select("node", "to", F.lit(0).alias("d")))
     fits = cut(fits.groupBy("node", "to").agg((F.count("*") - F.min("d")).alias("score")))

@@ -117,3 +117,17 @@ def test_model_tells_good_from_bad_sources(spark):
     assert model["sens"][0] > 0.7 and model["fpr"][0] < 0.08 and model["fpr"][1] > 0.2
     p = {r.name: r.p for r in table.withColumn("p", p5._posterior(model, 2)).groupBy("name").agg({"p": "avg"}).withColumnRenamed("avg(p)", "p").collect()}
     assert p["a"] > 0.9 and p["z"] < 0.1
+
+
+def test_exchanged_letters_in_short_surnames(spark):
+    keys = ["nowak", "nowka", "nwoak", "onwak", "noawk", "nokaw", "krol", "korl", "kowalik", "kowlaik", "kowailk", "koawlik"]
+    df = spark.createDataFrame([("jan", k, i) for i, k in enumerate(keys)], "g string, skey string, node int")
+    found = p3.similar_keys(df, df, p3.Segments.of(spark, sorted(set(map(len, keys)))), swaps=True)
+    got = {(r.key_a, r.key_b) for r in found.collect()}
+    swaps = {(a, b) for a in keys for b in keys if len(a) >= 5 and any(a[:p] + a[p + 1] + a[p] + a[p + 2 :] == b != a for p in range(len(a) - 1))}
+    assert len(swaps) >= 14 and got == swaps
+
+
+def test_link_of_an_exchange(spark):
+    df = spark.createDataFrame([(1, "Nowak", "Jan"), (2, "Nowka", "Jan"), (3, "Nokaw", "Jan")], "id bigint, surname string, given_names string")
+    assert {r.id: r.class_id for r in p3.link(df, "id", "surname", "given_names").collect()} == {1: 1, 2: 1, 3: 3}
