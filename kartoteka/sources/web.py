@@ -27,8 +27,14 @@ def index_urls(base: str, domain: str, page_size: int = 500) -> Iterator[str]:
 
 def captures(spark: SparkSession, base: str, domains: list[str], fetch: Fetch, limit: int, page_size: int = 500) -> DataFrame:
     """``url, offset, length, warc_filename`` of up to ``limit`` captures in the order of domains and pages. A domain ends at status
-    404 or an empty page; another status raises; malformed lines are left out."""
+    404 or an empty page; another status raises; malformed lines are left out and do not count."""
+    kind = "n bigint, line string"
     lines: list[tuple[int, str]] = []
+    seen = valid = 0  # lines that have been parsed, and captures among them
+
+    def parsed(part: list[tuple[int, str]]) -> DataFrame:
+        return spark.createDataFrame(part, kind).withColumn("r", cdx_record(F.col("line"))).where("r IS NOT NULL")
+
     for domain in domains:
         for url in index_urls(base, domain, page_size):
             status, body = fetch(url, {})
@@ -37,10 +43,13 @@ def captures(spark: SparkSession, base: str, domains: list[str], fetch: Fetch, l
             if status != 200:
                 raise AcquisitionError("phase1_acquisition", "unknown", f"index answered {status} for {domain}")
             lines += [(len(lines) + i, s) for i, s in enumerate(body.decode().splitlines()) if s.strip()]
-            if len(lines) >= 2 * limit:
-                break
-    rows = spark.createDataFrame(lines, "n bigint, line string").withColumn("r", cdx_record(F.col("line"))).where("r IS NOT NULL")
-    return rows.orderBy("n").limit(limit).select("r.*")
+            if valid + len(lines) - seen >= limit:
+                valid, seen = valid + parsed(lines[seen:]).count(), len(lines)
+                if valid >= limit:
+                    break
+        if valid >= limit:
+            break
+    return parsed(lines).orderBy("n").limit(limit).select("r.*")
 
 
 def pdf_of_record(data: bytes) -> tuple[bytes, str | None]:

@@ -1,5 +1,6 @@
 import gzip
 from datetime import datetime
+from urllib.parse import parse_qs, urlparse
 
 import duckdb
 import pytest
@@ -143,3 +144,16 @@ def test_queries_of_empty_tables(spark, name, tmp_path):
     for f in os.listdir(SF):
         spark.read.parquet(f"{SF}/{f}").limit(0).write.parquet(f"{tmp_path}/{f}")
     assert Q.QUERIES[name](spark, str(tmp_path)).collect() is not None
+
+
+def test_captures_count_parsed_records_only(spark, rows):
+    line = '{"url": "%s", "offset": "1", "length": "2", "filename": "f"}'
+    pages = {("a.example", "0"): "bad\n" * 9 + line % "u0", ("a.example", "1"): "bad\n" * 9, ("a.example", "2"): line % "u1" + "\n" + line % "u2", ("b.example", "0"): line % "other"}
+
+    def fetch(url, headers):
+        query = parse_qs(urlparse(url).query)
+        body = pages.get((query["url"][0].split("/")[0], query["page"][0]))
+        return (200, body.encode()) if body else (404, b"")
+
+    assert rows(web.captures(spark, "http://index", ["a.example", "b.example"], fetch, 3), "url") == [("u0",), ("u1",), ("u2",)]
+    assert rows(web.captures(spark, "http://index", ["a.example", "b.example"], fetch, 9), "url") == [("other",), ("u0",), ("u1",), ("u2",)]
