@@ -25,7 +25,8 @@ SOFT = "¬­=‐"
 DASH = r"—–\-"
 #: Letters of a word as printed, the signs that stand for letters included.
 GLYPH = r"\p{L}\p{M}\p{N}|§£@¢"
-#: A word is rare beside a variant that FREQUENT times as many texts have, FLOOR texts at least; shares, so at any size.
+#: A word is rare beside a variant that FREQUENT times as many texts have. FLOOR is a count of texts, not a share: a variant in
+#: fewer corrects nothing, so a small table yields fewer corrections than a large one with the same shares.
 FREQUENT, FLOOR = 12, 12
 #: A running head is believed from so many texts on that show it in a layout that no sentence has.
 HEADS = 2
