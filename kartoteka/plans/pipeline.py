@@ -80,8 +80,8 @@ class Pipeline:
 
 
 def acquisition(settings: Settings, text: str = "text") -> Phase:
-    """Documents of a table or reader (``content_key``, text, anything else is ignored): id from the content, language score of the
-    first characters, and the language filter. Equal contents become one document."""
+    """Documents of a table or reader (``doc_id``, text, anything else is ignored): language score of the first characters, and the
+    language filter. Rows of one ``doc_id`` become one document; equal contents under two ids stay two."""
 
     def run(rows: DataFrame) -> PhaseOutput:
         scored = rows.select("doc_id", F.col(text).alias("text")).withColumn("lang_score", X.lang_score(X.sample_text(F.col("text"))))
