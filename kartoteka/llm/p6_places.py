@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -10,10 +11,10 @@ from itertools import combinations
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kartoteka.cluster import attach
+from kartoteka.cluster import attach, cut
 from kartoteka.llm.p4_forms import surface
 
 #: Reference entries in one broadcast dictionary; a longer list is taken in blocks of so many.
@@ -100,6 +101,10 @@ def distance(a: str, b: str, most: float) -> float:
     return row[-1] if row[-1] <= most else float("inf")
 
 
+#: What a value resolves to that names no entry: place id, penalty, frequency.
+NOTHING = (-1, float("inf"), 0)
+
+
 @dataclass
 class Dictionary:
     """Reference entries ``(place_id, name, district, aliases, frequency)`` ready for lookups."""
@@ -108,7 +113,7 @@ class Dictionary:
     forms: dict[str, list[tuple[str, int, float]]] = field(default_factory=lambda: defaultdict(list))  # folded form -> (form, entry, penalty)
     near: dict[str, set[str]] = field(default_factory=lambda: defaultdict(set))  # shortened form -> folded forms
     prefixes: dict[str, set[str]] = field(default_factory=lambda: defaultdict(set))
-    memo: dict[str, tuple[int, float]] = field(default_factory=dict)
+    memo: dict[str, tuple[int, float, int]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.rest: list[str] = []
@@ -133,19 +138,19 @@ class Dictionary:
     def edits(word: str) -> int:
         return MAX_EDITS if len(word) >= 7 else 1 if len(word) >= 4 else 0
 
-    def resolve(self, value: str) -> tuple[int, float]:
-        """The entry's id and its penalty, or -1 and infinity."""
+    def resolve(self, value: str) -> tuple[int, float, int]:
+        """The entry's id, its penalty and its frequency, or ``NOTHING``."""
         if value not in self.memo:
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             self.memo[value] = self._resolve(value)
         return self.memo[value]
 
-    def _resolve(self, value: str) -> tuple[int, float]:
+    def _resolve(self, value: str) -> tuple[int, float, int]:
         text = surface(value).strip().lower()
         districts = [fold(d) for d in _DISTRICT.findall(text)]
         text = _DISTRICT.sub(" , ", text)
-        best: tuple[float, float, int] | None = None
+        best: tuple[float, int, int] | None = None
         for part in _PARTS.split(_INLINE_STREET.sub(" , ", text)):
             part = part.strip(" .:-–—'*/")
             dotted = part + "." if text.find(part + ".") >= 0 else part
@@ -155,9 +160,9 @@ class Dictionary:
             for phrase in dict.fromkeys((bare, dotted)):
                 for k, penalty in self._candidates(phrase.split(), districts):
                     place, _, _, _, frequency = self.entries[k]
-                    found = (penalty, -float(frequency), place)
+                    found = (penalty, -int(frequency), place)
                     best = min(best, found) if best else found
-        return (best[2], best[0]) if best else (-1, float("inf"))
+        return (best[2], best[0], -best[1]) if best else NOTHING
 
     def _candidates(self, words: list[str], districts: list[str]) -> Iterator[tuple[int, float]]:
         if not words:
@@ -224,27 +229,27 @@ def _within(short: str, long: str) -> bool:
 
 #: Total penalty beyond which a value names nothing in the list.
 LIMIT = 3.4
-_BUILT: dict[int, Dictionary] = {}
+_BUILT: dict[str, Dictionary] = {}
 
 
-def _resolver(entries: list[tuple]):
-    key = hash(tuple(e[:3] for e in entries))
+def _resolver(spark: SparkSession, entries: list[tuple]):
+    """A function over batches of values and the broadcast variable that holds ``entries``."""
+    book, key = spark.sparkContext.broadcast(entries), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if key not in _BUILT:  # kept by the Python worker for its next tasks
+        if key not in _BUILT:  # kept by the Python worker for its next tasks of the same list
             _BUILT.clear()
-            _BUILT[key] = Dictionary(entries)
-        book = _BUILT[key]
+            _BUILT[key] = Dictionary(book.value)
+        known = _BUILT[key]
         for batch in batches:
             codes, distinct = pd.factorize(batch["value"])
-            found = [book.resolve(v) for v in distinct]
-            found = [(p, c) if c <= LIMIT else (-1, float("inf")) for p, c in found]
-            batch["place_id"] = [found[c][0] for c in codes]
-            batch["penalty"] = [found[c][1] for c in codes]
-            batch["exact"] = False
+            found = [known.resolve(v) for v in distinct]
+            found = [f if f[1] <= LIMIT else NOTHING for f in found]
+            for at, name in enumerate(("place_id", "penalty", "frequency")):
+                batch[name] = [found[c][at] for c in codes]
             yield batch
 
-    return run
+    return run, book
 
 
 def named(value: Column) -> Column:
@@ -262,31 +267,47 @@ def map_to_reference(df: DataFrame, id_col: str, value_col: str, reference: Data
     symmetric-delete dictionary for two edits and ranked by weighted distance, second word, district and how often the entry
     is named exactly in ``df``; ties go to the smaller id. A value is worked on once per batch and remembered by the Python
     worker, so frequent values cost nothing and nothing is shuffled. The dictionary is broadcast for at most ``block``
-    entries; a longer list is worked off in blocks over the distinct values and the best block wins. Null names are left out.
+    entries; a longer list is taken block by block over the distinct values, of which the driver holds one at a time, with
+    the same ranking, so the length of the list changes no result. Null names are left out.
     """
+    spark = df.sparkSession
     rows = df.where(named(F.col(value_col))).select(F.col(id_col).alias("id"), F.col(value_col).alias("value"))
     ref = reference.where(F.col("name").isNotNull()).select(F.col(ref_id).cast("bigint").alias("place_id"), "name", "district", "aliases")
-    names = ref.groupBy("name").agg(F.min("place_id").alias("place_id"))
+    names = ref.groupBy(F.col("name").alias("value")).agg(F.min("place_id").alias("place_id"))
+    schema = f"id {dict(rows.dtypes)['id']}, value string, place_id bigint, penalty double, frequency bigint"
     n_ref = ref.count()
-    small = n_ref <= block
-    hint = F.broadcast if small else (lambda d: d)
-    frequency = rows.join(hint(names), rows["value"] == names["name"]).groupBy("place_id").count()
-    ref = ref.join(frequency, "place_id", "left").select("place_id", "name", "district", "aliases", F.coalesce("count", F.lit(0)).alias("n"))
-    exact = rows.join(hint(names), rows["value"] == names["name"]).select("id", "value", names["place_id"], F.lit(0.0).alias("penalty"), F.lit(True).alias("exact"))
-    other = rows.join(hint(names.select("name")), rows["value"] == F.col("name"), "left_anti")
-    schema = f"id {dict(rows.dtypes)['id']}, value string, place_id bigint, penalty double, exact boolean"
-    if small:
-        entries = [tuple(r) for r in ref.orderBy("place_id").collect()]
-        return exact.unionByName(other.mapInPandas(_resolver(entries), schema))
-    values = other.groupBy("value").agg(F.count("*").alias("n"))
-    found = None
-    for k in range(-(-n_ref // block)):
-        part = ref.where(F.pmod(F.xxhash64("place_id"), F.lit(-(-n_ref // block))) == k)
-        one = values.select(F.lit(0).cast("bigint").alias("id"), "value").mapInPandas(_resolver([tuple(r) for r in part.collect()]), schema.replace(schema.split(",")[0], "id bigint"))
-        found = one if found is None else found.unionByName(one)
-    best = found.groupBy("value").agg(F.min_by("place_id", F.struct("penalty", "place_id")).alias("place_id"), F.min("penalty").alias("penalty"))
-    mapped = attach(other, values.join(best, "value"), ["value"], "n", df.count()).select("id", "value", "place_id", "penalty", F.lit(False).alias("exact"))
-    return exact.unionByName(mapped)
+
+    def counted(frequency: DataFrame) -> DataFrame:
+        return ref.join(frequency, "place_id", "left").select("place_id", "name", "district", "aliases", F.coalesce("n", F.lit(0)).alias("n"))
+
+    def result(part: DataFrame, exact: bool) -> DataFrame:
+        penalty = F.lit(0.0) if exact else F.col("penalty")
+        return part.select("id", "value", "place_id", penalty.alias("penalty"), F.lit(exact).alias("exact"))
+
+    if n_ref <= block:
+        exact = rows.join(F.broadcast(names), "value")
+        other = rows.join(F.broadcast(names.select("value")), "value", "left_anti").select("id", "value")
+        frequency = exact.groupBy("place_id").agg(F.count("*").alias("n"))
+        run, _ = _resolver(spark, [tuple(r) for r in counted(frequency).collect()])
+        held = other.withColumns({"place_id": F.lit(0).cast("bigint"), "penalty": F.lit(0.0), "frequency": F.lit(0).cast("bigint")})
+        return result(exact, True).unionByName(result(held.mapInPandas(run, schema), False))
+    values = cut(rows.groupBy("value").agg(F.count("*").alias("n")).join(names, "value", "left"))
+    frequency = values.where("place_id IS NOT NULL").groupBy("place_id").agg(F.sum("n").alias("n"))
+    ref, blocks = cut(counted(frequency)), -(-n_ref // block)
+    open_values = values.where("place_id IS NULL").select(F.lit(None).cast(dict(rows.dtypes)["id"]).alias("id"), "value")
+    best = None
+    for k in range(blocks):
+        part = ref.where(F.pmod(F.xxhash64("place_id"), F.lit(blocks)) == k).collect()
+        run, book = _resolver(spark, [tuple(r) for r in part])
+        held = open_values.withColumns({"place_id": F.lit(0).cast("bigint"), "penalty": F.lit(0.0), "frequency": F.lit(0).cast("bigint")})
+        found = held.mapInPandas(run, schema).select("value", F.struct("penalty", (-F.col("frequency")).alias("rarity"), "place_id").alias("found"))
+        best = found if best is None else best.unionByName(found)
+        best = cut(best.groupBy("value").agg(F.min("found").alias("found")))
+        book.destroy()
+    open_ = best.select("value", "found.place_id", "found.penalty", F.lit(False).alias("exact"))
+    known = values.where("place_id IS NOT NULL").select("value", "place_id", F.lit(0.0).alias("penalty"), F.lit(True).alias("exact"))
+    every = known.unionByName(open_).join(values.select("value", "n"), "value")
+    return attach(rows, every, ["value"], "n", df.count()).select("id", "value", "place_id", "penalty", "exact")
 
 
 def misses(mapped: DataFrame) -> DataFrame:

@@ -48,6 +48,21 @@ def test_found_leaves_out_only_names_character_for_character(spark, monkeypatch,
     assert {r.id: r.place_id for r in queries.p6_found(spark, str(tmp_path)).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: -1}
 
 
+@pytest.mark.parametrize("block", [20_000, 1])
+def test_ties_go_to_the_more_frequent_entry_in_every_block(spark, rows, block):
+    ref = spark.createDataFrame([(1, "Kalinów", None, None), (2, "Kalinow", None, None), (3, "Kalinów", None, None)], REF_KIND)
+    df = spark.createDataFrame([(1, "Kalinow"), (2, "Kalinow"), (3, "Kalinów"), (4, "KALINOW x"), (5, "w Kalinowie")], "id bigint, location string")
+    out = {r.id: r.place_id for r in p6.map_to_reference(df, "id", "location", ref, block=block).collect()}
+    assert out[3] == 1 and out[5] == 2  # equal penalties, so the name written more often
+
+
+def test_one_worker_keeps_lists_apart(spark, rows):
+    df = spark.createDataFrame([(1, "kalinów")], "id bigint, location string")
+    for alias, want in ((["Kalinów"], 7), (["Brzezie"], -1)):
+        ref = spark.createDataFrame([(7, "Sosnowa", None, alias)], REF_KIND)
+        assert rows(p6.map_to_reference(df, "id", "location", ref), "place_id") == [(want,)]
+
+
 def test_weighted_distance():
     assert p6.distance("lodz", "łódź", 2) < 0.5 < p6.distance("kot", "kos", 2) and p6.distance("ab", "ba", 2) < 1 and p6.distance("kot", "pies", 2) == float("inf")
 
