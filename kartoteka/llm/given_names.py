@@ -1,9 +1,11 @@
-"""Given names: their spellings, short forms and foreign forms, brought to one name."""
+"""Given names: their spellings, short forms and foreign forms, brought to one name. The lists are a seed; :mod:`learned_names`
+adds the forms that the data show."""
 
 from __future__ import annotations
 
 import unicodedata
 from collections import defaultdict
+from dataclasses import dataclass
 from functools import lru_cache
 
 from kartoteka.llm.p4_forms import surface
@@ -88,39 +90,63 @@ def _shortened(word: str, most: int) -> set[str]:
     return out
 
 
-@lru_cache(maxsize=1)
-def _tables() -> tuple[dict[str, str], dict[str, set[str]]]:
-    exact = {plain(k): plain(v) for k, v in {**FOREIGN, **SHORT}.items()} | {plain(n): plain(n) for n in NAMES}
-    near: dict[str, set[str]] = defaultdict(set)
-    for form in exact:
-        for w in _shortened(form, _edits(form)):
-            near[w].add(form)
-    return exact, near
-
-
 def _edits(word: str) -> int:
     return 2 if len(word) >= 5 else 1 if len(word) >= 3 else 0
 
 
-def is_given(token: str) -> bool:
-    """Whether the token is a known given name, letter for letter but for accents and case."""
-    return plain(token) in _tables()[0]
-
-
-@lru_cache(maxsize=200_000)
-def names_of(token: str) -> tuple[str, ...]:
-    """The given names that a typed token can stand for: known forms letter for letter, else the nearest known ones; at two
-    edits only if there is just one."""
-    word = plain(token)
-    exact, near = _tables()
-    if word in exact:
-        return (exact[word],)
-    found: dict[str, int] = {}
-    for w in _shortened(word, _edits(word)) if 3 <= len(word) <= 14 else ():
-        for form in near.get(w, ()):
-            most = min(_edits(form), max(_edits(word), 1))
-            if (d := osa(word, form, most)) <= most:
-                found[exact[form]] = min(found.get(exact[form], 9), d)
-    best = min(found.values(), default=0)
-    names = tuple(sorted(n for n, d in found.items() if d == best))
-    return names if best < 2 or len(names) == 1 else ()
+#: Remembered tokens of one worker.
+MEMO = 200_000
+
+
+@dataclass
+class Names:
+    """Known forms of given names (plain) and the name each stands for."""
+
+    forms: dict[str, str]
+
+    def __post_init__(self) -> None:
+        self.near: dict[str, list[str]] = defaultdict(list)
+        for form in self.forms:
+            for w in _shortened(form, _edits(form)):
+                self.near[w].append(form)
+        self.memo: dict[str, tuple[str, ...]] = {}
+
+    def __reduce__(self):
+        return Names, (self.forms,)
+
+    def is_given(self, token: str) -> bool:
+        """Whether the token is a known form, letter for letter but for accents and case."""
+        return plain(token) in self.forms
+
+    def of(self, token: str) -> tuple[str, ...]:
+        """The given names that a typed token can stand for: known forms letter for letter, else the nearest known ones; at two
+        edits only if there is just one."""
+        if token not in self.memo:
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            self.memo[token] = self._of(plain(token))
+        return self.memo[token]
+
+    def _of(self, word: str) -> tuple[str, ...]:
+        if word in self.forms:
+            return (self.forms[word],)
+        found: dict[str, int] = {}
+        for w in _shortened(word, _edits(word)) if 3 <= len(word) <= 14 else ():
+            for form in self.near.get(w, ()):
+                most = min(_edits(form), max(_edits(word), 1))
+                if (d := osa(word, form, most)) <= most:
+                    found[self.forms[form]] = min(found.get(self.forms[form], 9), d)
+        best = min(found.values(), default=0)
+        names = tuple(sorted(n for n, d in found.items() if d == best))
+        return names if best < 2 or len(names) == 1 else ()
+
+
+@lru_cache(maxsize=4)
+def seed(without: frozenset[str] = frozenset()) -> Names:
+    """The lists above, but for the plain forms in ``without``; forms of a name that is left out stand for the first of them."""
+    every = {plain(n): plain(n) for n in NAMES} | {plain(k): plain(v) for k, v in {**FOREIGN, **SHORT}.items()}
+    kept = {f: n for f, n in every.items() if f not in without}
+    heads: dict[str, str] = {}
+    for f, n in kept.items():
+        heads.setdefault(n, n if n in kept else f)
+    return Names({f: heads[n] for f, n in kept.items()})

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kartoteka.cluster import attach, cut
-from kartoteka.llm.given_names import FILLERS, is_given, latin, names_of, plain
+from kartoteka.llm.given_names import FILLERS, Names, plain, seed
+from kartoteka.llm.learned_names import learn
 from kartoteka.llm.p4_forms import surface
 from kartoteka.llm.p6_places import beside
 from kartoteka.operators.graph import connected_components
@@ -52,8 +53,9 @@ def surname_key(words: list[str]) -> str:
     return "-".join(sorted(parts))
 
 
-def parse(surname: str | None, given: str | None) -> tuple[str, list[str], list[str], str | None]:
+def parse(surname: str | None, given: str | None, names_known: Names | None = None) -> tuple[str, list[str], list[str], str | None]:
     """``(surname key, given names, initials, pattern of a shortened surname)`` of one row, whatever field the parts stand in."""
+    known = names_known or seed()
     left = [w for w in _WORD.findall(surface(surname or "").replace("-", " - ").replace("‐", " - "))]
     text = surface(surname or "").strip()
     abbr = None
@@ -68,18 +70,18 @@ def parse(surname: str | None, given: str | None) -> tuple[str, list[str], list[
     for w in right:
         if len(plain(w)) == 1:
             inits.add(plain(w))
-        elif found := names_of(w):
+        elif found := known.of(w):
             names.update(found)
         else:
             unknown.append(w)
     words = [w for w in left if plain(w) and plain(w) not in JOINING]
-    swapped = not names and any(len(plain(w)) >= 5 for w in unknown) and all(len(plain(w)) == 1 or names_of(w) for w in words)
+    swapped = not names and any(len(plain(w)) >= 5 for w in unknown) and all(len(plain(w)) == 1 or known.of(w) for w in words)
     whole = not right and len(words) > 1
     for w in words:
         if len(plain(w)) == 1:
             inits.add(plain(w))
-        elif (is_given(w) and (len(words) > 1 or swapped)) or ((swapped or whole) and names_of(w)):
-            names.update(names_of(w))
+        elif (known.is_given(w) and (len(words) > 1 or swapped)) or ((swapped or whole) and known.of(w)):
+            names.update(known.of(w))
         else:
             family.append(w)
     if len(family) == 1 and family[0].endswith(".") and len(plain(family[0])) >= 4:
@@ -93,8 +95,9 @@ def parse(surname: str | None, given: str | None) -> tuple[str, list[str], list[
     return key, sorted(names), sorted(inits), abbr if key and not abbr == "%" else None
 
 
-def parse_names(df: DataFrame, id_col: str, surname: str, given: str) -> DataFrame:
+def parse_names(df: DataFrame, id_col: str, surname: str, given: str, known: Names) -> DataFrame:
     """``id, skey, givens, inits, abbr`` for each row with a surname; rows of one spelling are parsed once per batch."""
+    book = df.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -102,7 +105,7 @@ def parse_names(df: DataFrame, id_col: str, surname: str, given: str) -> DataFra
             out = []
             for s, g in zip(batch["s"], batch["g"]):
                 if (s, g) not in memo:
-                    memo[s, g] = parse(s, g)
+                    memo[s, g] = parse(s, g, book.value)
                 out.append(memo[s, g])
             skey, givens, inits, abbr = zip(*out) if out else ((), (), (), ())
             yield pd.DataFrame({"id": batch["id"], "skey": skey, "givens": givens, "inits": inits, "abbr": abbr})
@@ -242,7 +245,7 @@ def _plausible(pairs: DataFrame, full: DataFrame) -> DataFrame:
     return kept.where("d < 2").unionByName(kept.where("d = 2").where(_slips("key_a", "key_b") <= MOST))
 
 
-def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: DataFrame | None = None) -> DataFrame:
+def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: DataFrame | None = None, known: Names | None = None) -> DataFrame:
     """``id, class_id``: rows of one human being share a class, whose id is its smallest row id.
 
     Rows are linked if they share a given name (short, foreign and mistyped forms resolved) and their surnames, by sound and
@@ -251,8 +254,10 @@ def link(persons: DataFrame, id_col: str, surname: str, given: str, groups: Data
     with the only class they can stand for. Rows with initials alone, or no given name, join a class only if exactly one
     class fits best. ``groups`` (``group_id, person_id``) adds confirmed links. Rows without a surname, and rows that nothing
     fits, are a class of their own; a null id is left out. Spellings, not rows, are compared, so equal rows cost nothing.
+    Given names are those of the list and those that the data show (:mod:`learned_names`); ``known`` replaces the list.
     """
-    parsed, n_rows = cut(parse_names(persons, id_col, surname, given)), persons.count()
+    known, _ = learn(persons, surname, given, known)
+    parsed, n_rows = cut(parse_names(persons, id_col, surname, given, known)), persons.count()
     shape = ["skey", "givens", "inits", "abbr"]
     nodes = cut(parsed.groupBy(*shape).agg(F.min("id").alias("node"), F.count("*").alias("n")))
     named = nodes.where("size(givens) > 0").select("skey", "node", F.explode("givens").alias("g"), "abbr", "givens")

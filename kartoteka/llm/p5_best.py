@@ -2,40 +2,42 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kartoteka.cluster import cut
-from kartoteka.llm.given_names import names_of, plain
+from kartoteka.cluster import attach, cut
+from kartoteka.llm.given_names import Names, plain, seed
+from kartoteka.llm.learned_names import learn
 from kartoteka.llm.p3_names import given_tokens
 
 ROUNDS = 12
 #: Pseudo-counts: true names are spelled out by half of the sources, false ones by few; as many names are true as not.
 SENSITIVITY, FALSE_CLAIMS, TRUTH = (2.0, 2.0), (1.0, 99.0), (5.0, 1.0)
-#: The model keeps four numbers per source on the driver; more sources than this are folded into as many by hash.
-MAX_SOURCES = 64
+#: Parameters of at most so many sources are broadcast to the evidence; more are joined by shuffle.
+BROADCAST_SOURCES = 100_000
 #: A time this many years before or after nearly all rows were created is a placeholder.
 PLACEHOLDER_YEARS = 9
 
 
-def full_names(value: str | None) -> tuple[list[str], list[str]]:
+def full_names(value: str | None, known: Names | None = None) -> tuple[list[str], list[str]]:
     """Different given names spelled out in full, and the letters of initials. Short, foreign and mistyped forms count as the
     name they stand for."""
-    words = given_tokens(value)
-    full = {(names_of(w) or (plain(w),))[0] for w in words if len(plain(w)) > 1}
+    words, known = given_tokens(value), known or seed()
+    full = {(known.of(w) or (plain(w),))[0] for w in words if len(plain(w)) > 1}
     return sorted(full), sorted({plain(w) for w in words if len(plain(w)) == 1})
 
 
-def _members(groups: DataFrame, persons: DataFrame) -> DataFrame:
+def _members(groups: DataFrame, persons: DataFrame, known: Names) -> DataFrame:
     """``group_id, person_id, names, inits, updated_at`` of the groups' members; repeated members count once."""
+    book = groups.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parsed = [full_names(v) for v in batch.pop("given_names")]
+            parsed = [full_names(v, book.value) for v in batch.pop("given_names")]
             batch["names"], batch["inits"] = [p[0] for p in parsed], [p[1] for p in parsed]
             yield batch
 
@@ -55,69 +57,69 @@ def _evidence(events: DataFrame) -> DataFrame:
     return rows.groupBy("person_id").agg(F.max_by(method, F.struct("n", method)).alias("source"), F.max("best").alias("best"))
 
 
-def facts(members: DataFrame, sources: list[str]) -> DataFrame:
-    """``group_id, name, pos, neg``: per source how many members claim the name, and how many spell their names without it.
-    A member with an initial of the same letter says neither."""
-    index = F.array_position(F.array(*[F.lit(s) for s in sources]), F.col("source")).cast("int") - 1
-
-    def counts(df: DataFrame, *keys: str) -> DataFrame:
-        sums = [F.sum(F.when(F.col("_s") == i, 1).otherwise(0)) for i in range(len(sources))]
-        return df.withColumn("_s", index).groupBy(*keys).agg(F.array(*sums).alias("c"))
-
-    claims = counts(members.select("group_id", "source", F.explode("names").alias("name")), "group_id", "name").withColumnRenamed("c", "pos")
-    speakers = counts(members.where("size(names) > 0"), "group_id").withColumnRenamed("c", "all")
-    unsure = members.where("size(names) > 0").select("group_id", "source", F.explode("inits").alias("letter"))
-    unsure = counts(unsure, "group_id", "letter").withColumnRenamed("c", "unsure")
-    joined = claims.withColumn("letter", F.substring("name", 1, 1)).join(speakers, "group_id").join(unsure, ["group_id", "letter"], "left")
-    zero = F.array(*[F.lit(0).cast("bigint")] * len(sources))
-    rest = F.zip_with("all", "pos", lambda a, p: a - p)
-    neg = F.zip_with(rest, F.coalesce("unsure", zero), lambda a, u: F.greatest(a - u, F.lit(0)))
-    return joined.select("group_id", "name", "pos", neg.alias("neg"))
-
-
-def _posterior(model: dict[str, np.ndarray | float], n: int) -> Column:
-    """Probability that a name is true, from the model's log odds."""
-    logit = F.lit(float(np.log(model["truth"] / (1 - model["truth"]))))
-    yes = np.log(model["sens"] / model["fpr"])
-    no = np.log((1 - model["sens"]) / (1 - model["fpr"]))
-    for i in range(n):
-        logit = logit + F.col("pos")[i] * F.lit(float(yes[i])) + F.col("neg")[i] * F.lit(float(no[i]))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
-
-
-def fit(table: DataFrame, n: int, rounds: int = ROUNDS) -> dict[str, np.ndarray | float]:
-    """Sensitivity and false-claim rate of each of ``n`` sources and the share of true names. Each round is one aggregation of
-    the written table to ``4 n + 2`` sums, of which the driver gets one row."""
-    model = {"truth": 0.8, "sens": np.full(n, 0.6), "fpr": np.full(n, 0.02)}
+def facts(members: DataFrame) -> DataFrame:
+    """``group_id, name, evidence`` with one ``source, pos, neg`` for each source heard on the name: how many of its members claim
+    the name, and how many spell their names without it. A member with an initial of the same letter says neither.
+
+    A group's sources and names, not its members, meet in one row: members are added up by partial aggregates first.
+    """
+    keys = ["group_id", "source"]
+    claims = members.select(*keys, F.explode("names").alias("name")).groupBy(*keys, "name").agg(F.count("*").alias("pos"))
+    speakers = members.where("size(names) > 0").groupBy(*keys).agg(F.count("*").alias("all"))
+    unsure = members.where("size(names) > 0").select(*keys, F.explode("inits").alias("letter")).groupBy(*keys, "letter").agg(F.count("*").alias("unsure"))
+    named = claims.select("group_id", "name").distinct().withColumn("letter", F.substring("name", 1, 1))
+    heard = named.join(speakers, "group_id").join(unsure, [*keys, "letter"], "left").join(claims, [*keys, "name"], "left")
+    pos = F.coalesce("pos", F.lit(0))
+    neg = F.greatest(F.col("all") - pos - F.coalesce("unsure", F.lit(0)), F.lit(0))
+    return heard.groupBy("group_id", "name").agg(F.collect_list(F.struct("source", pos.alias("pos"), neg.alias("neg"))).alias("evidence"))
+
+
+def _judge(table: DataFrame, rates: DataFrame, truth: float) -> DataFrame:
+    """``table`` with ``p``, the probability that a name is true, from the log odds of each source's ``yes`` and ``no``."""
+    rows = table.select("group_id", "name", F.inline("evidence"))
+    if rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+        rows = rows.join(F.broadcast(rates.drop("n")), "source")
+    else:
+        rows = attach(rows, rates, ["source"], "n", rates.agg(F.sum("n")).first()[0])
+    odds = F.sum(F.col("pos") * F.col("yes") + F.col("neg") * F.col("no")) + F.lit(math.log(truth / (1 - truth)))
+    heard = F.collect_list(F.struct("source", "pos", "neg")).alias("evidence")
+    by = rows.groupBy("group_id", "name").agg(odds.alias("odds"), heard)
+    return by.select("group_id", "name", "evidence", (1 / (1 + F.exp(-F.col("odds")))).alias("p"))
+
+
+def _rates(sens: Column, fpr: Column) -> list[Column]:
+    return [sens.alias("sens"), fpr.alias("fpr"), F.ln(sens / fpr).alias("yes"), F.ln((1 - sens) / (1 - fpr)).alias("no")]
+
+
+def fit(table: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, float]:
+    """``source, n, sens, fpr, yes, no`` for every source, and the share of true names, by expectation-maximisation. Each round judges
+    every name and adds the evidence up by source, with any number of sources; the driver gets the share alone."""
+    truth = 0.8
+    sources = table.select(F.inline("evidence")).groupBy("source").agg(F.count("*").alias("n"))
+    rates = cut(sources.select("source", "n", *_rates(F.lit(0.6), F.lit(0.02))))
     for _ in range(rounds):
-        p = _posterior(model, n)
-        sums = [F.sum(p), F.count("*")]
-        for i in range(n):
-            pos, neg = F.col("pos")[i], F.col("neg")[i]
-            sums += [F.sum(p * pos), F.sum(p * neg), F.sum((1 - p) * pos), F.sum((1 - p) * neg)]
-        row = [float(v or 0) for v in table.agg(*[s.alias(f"s{k}") for k, s in enumerate(sums)]).first()]
-        parts = np.array(row[2:]).reshape(n, 4)
-        model = {
-            "truth": (row[0] + TRUTH[0]) / (row[1] + sum(TRUTH)),
-            "sens": (parts[:, 0] + SENSITIVITY[0]) / (parts[:, 0] + parts[:, 1] + sum(SENSITIVITY)),
-            "fpr": (parts[:, 2] + FALSE_CLAIMS[0]) / (parts[:, 2] + parts[:, 3] + sum(FALSE_CLAIMS)),
-        }
-    return model
+        judged = _judge(table, rates, truth)
+        every = F.concat("evidence", F.array(F.struct(F.lit(None).cast("string").alias("source"), F.lit(1).cast("bigint").alias("pos"), F.lit(0).cast("bigint").alias("neg"))))
+        rows = judged.select("p", F.inline(every))  # the row without a source adds up the names themselves
+        p, q, pos, neg = F.col("p"), 1 - F.col("p"), F.col("pos"), F.col("neg")
+        sums = cut(rows.groupBy("source").agg(F.count("*").alias("n"), F.sum(p * pos).alias("tp"), F.sum(p * neg).alias("tn"), F.sum(q * pos).alias("fp"), F.sum(q * neg).alias("fn")))
+        names = sums.where("source IS NULL").select("tp", "fp").first()
+        if names is None:
+            break
+        truth = (names[0] + TRUTH[0]) / (names[0] + names[1] + sum(TRUTH))
+        sens = (F.col("tp") + SENSITIVITY[0]) / (F.col("tp") + F.col("tn") + sum(SENSITIVITY))
+        fpr = (F.col("fp") + FALSE_CLAIMS[0]) / (F.col("fp") + F.col("fn") + sum(FALSE_CLAIMS))
+        rates = sums.where("source IS NOT NULL").select("source", "n", *_rates(sens, fpr))
+    return rates, truth
 
 
 def _judged(groups: DataFrame, persons: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members with their source and best confidence; names with the probability that they are true."""
-    members = _members(groups, persons).join(_evidence(events), "person_id", "left")
-    source = F.coalesce("source", F.lit(""))
-    members = cut(members.withColumn("source", source))
-    n_sources = members.select("source").distinct().count()
-    if n_sources > MAX_SOURCES:
-        members = members.withColumn("source", F.pmod(F.xxhash64("source"), F.lit(MAX_SOURCES)).cast("string"))
-    sources = sorted(r[0] for r in members.select("source").distinct().collect())
-    if not sources:
-        sources = [""]
-    table = cut(facts(members, sources))
-    return members, table.withColumn("p", _posterior(fit(table, len(sources)), len(sources))).select("group_id", "name", "p")
+    known, _ = learn(persons, "surname", "given_names")
+    members = _members(groups, persons, known).join(_evidence(events), "person_id", "left")
+    members = cut(members.withColumn("source", F.coalesce("source", F.lit(""))))
+    table = cut(facts(members))
+    return members, _judge(table, *fit(table)).select("group_id", "name", "p")
 
 
 def _real_time(persons: DataFrame) -> Column:

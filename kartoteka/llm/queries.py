@@ -91,11 +91,12 @@ def p8_shares(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
-    return p9_personal.find_mentions(_read(spark, sf, "documents"), "doc_id", "text").select("doc_id", "kind", "start_pos").distinct()
+    found = p9_personal.pseudonymise(_read(spark, sf, "documents"), "doc_id", "text", p9_personal.session_key(spark), _read(spark, sf, "persons"))
+    return found.where(F.col("kind").isin(*p9_personal.KINDS)).select("doc_id", "kind", "start_pos").distinct()
 
 
 def p9_redacted(spark: SparkSession, sf: str) -> DataFrame:
-    return p9_personal.redact(_read(spark, sf, "documents"), "doc_id", "text")
+    return p9_personal.redact(_read(spark, sf, "documents"), "doc_id", "text", p9_personal.session_key(spark), _read(spark, sf, "persons"))
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_facts, p2_found, p2_repaired, p3_found, p3_classes, p4_found, p4_canonical, p5_found, p5_records, p6_found, p6_misses, p7_containers, p7_report, p8_mixed, p8_shares, p9_found, p9_redacted)}

@@ -66,14 +66,30 @@ def test_pseudonyms_keep_the_format_and_link():
 def test_tables(spark, rows):
     data = [(1, "tel. 2-93-70", "own"), (2, None, ""), (3, "", ""), (4, "Jan Kwymokluwicki " + "x " * 30_000 + "tel. 5-55-55", ""), (1, "tel. 2-93-70", "")]
     df = spark.createDataFrame(data, "doc_id bigint, text string, kind string")
-    got = p9.find_mentions(df, "doc_id", "text")
+    got = p9.pseudonymise(df, "doc_id", "text", "secret")
     assert rows(got.select("doc_id", "kind", "start_pos").distinct()) == [(1, "phone", 5), (4, "name", 0), (4, "phone", 60_023)]
-    texts = {r.doc_id: r.text for r in p9.redact(df, "doc_id", "text").collect()}
+    texts = {r.doc_id: r.text for r in p9.redact(df, "doc_id", "text", "secret").collect()}
     assert texts[2] is None and texts[3] == "" and texts[1].startswith("tel. [PHONE ") and texts[4].startswith("[NAME ")
-    assert p9.find_mentions(df.limit(0), "doc_id", "text").count() == 0 and p9.redact(df.limit(0), "doc_id", "text").count() == 0
+    assert p9.pseudonymise(df.limit(0), "doc_id", "text", "secret").count() == 0 and p9.redact(df.limit(0), "doc_id", "text", "secret").count() == 0
+    with pytest.raises(ValueError):
+        p9.redact(df, "doc_id", "text", "")
+
+
+def test_mentions_and_redaction_agree_and_persons_add_names(spark):
+    df = spark.createDataFrame([(2**53 + 1, "Świadkiem był Zbylut Kwymokluwicki, ur. 3.04.1890, tel. 2-93-70."), (7, "Kwymokluwicki, Zbylut, *1890-04-03")], "doc_id bigint, text string")
+    persons = spark.createDataFrame([(i, f"Kowal{chr(97 + i)}", '["Zbylut"]') for i in range(9)], "id int, surname string, given_names string")
+    assert not {r.kind for r in p9.pseudonymise(df, "doc_id", "text", "k").collect()} & {"name"}
+    found = p9.pseudonymise(df, "doc_id", "text", "k", persons).collect()
+    assert {(r.doc_id, r.kind, r.start_pos) for r in found} == {(2**53 + 1, "name", 14), (2**53 + 1, "date", 40), (2**53 + 1, "phone", 56), (7, "name", 0), (7, "date", 24)}
+    texts = {r.doc_id: r.text for r in p9.redact(df, "doc_id", "text", "k", persons).collect()}
+    by = {(r.doc_id, r.kind): r.pseudonym for r in found}
+    assert texts[2**53 + 1] == f"Świadkiem był {by[2**53 + 1, 'name']}, ur. {by[2**53 + 1, 'date']}, tel. {by[2**53 + 1, 'phone']}."
+    first, second = by[2**53 + 1, "date"][6:-1].split("."), by[7, "date"][6:-1].split("-")
+    assert [int(x) for x in first] == [int(x) for x in reversed(second)] and p9.permute_written_date("3.04.1890", b"k") != "3.04.1890"
 
 
 def test_frequent_surnames_are_no_common_words(spark):
     data = [(i, f"Jan Bekrowski zapłacił {i}. Nadawca: Jan Bekrowski") for i in range(40)]
-    common = {r.word for r in p9.common_words(spark.createDataFrame(data, "d int, t string"), "t", 40).collect()}
+    scanned = p9.scan_texts(spark.createDataFrame(data, "d int, t string"), "d", "t", p9.GivenForms())
+    common = {r.word for r in p9.common_words(scanned, 40).collect()}
     assert {"zapłacił", "nadawca"} <= common and "bekrowski" not in common
