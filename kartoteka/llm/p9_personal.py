@@ -60,7 +60,7 @@ BIRTH_DATE = regex.compile(rf"(?:(?<!\p{{L}})(?:ur|urodz|geb|born|nat)\.?|urodzo
 _PESEL_CUE = regex.compile(r"pesel(?:\s+to|u|em)?[:\s]*$", regex.I)
 TOKEN = regex.compile(r"\p{L}[\p{L}\p{M}]*(?:['’]\p{L}+)?(?:-\p{Lu}[\p{L}\p{M}]+|-\p{Ll}{4,})?")
 #: Spaces that look like the plain one, and dashes that look like the hyphen.
-SPACES = {0xA0: 32, 0x2007: 32, 0x202F: 32, 0x2009: 32, 0x2010: 45, 0x2011: 45}
+SPACES, DASHES = "\u00a0\u2007\u202f\u2009", "\u2010\u2011"
 KINDS = ("email", "id_number", "address", "phone", "name")
 # What a text must hold for a pattern to be tried on it.
 _DIGIT, _SIX_DIGITS, _SERIES = regex.compile(r"\d"), regex.compile(r"\d{6}"), regex.compile(r"\p{Lu}{2}[ -]?\d{3}")
@@ -206,7 +206,9 @@ def scan(text: str, forms: GivenForms) -> tuple[list[tuple], list[tuple], list[s
     ``gap`` tells what stands behind the token: w white space with one line end at most, d a dot and then white space or
     nothing, c a comma and then white space, s other white space, - anything else; ``street`` whether a street word stands before it.
     """
-    text = text.translate(SPACES)  # code point for code point, so positions stay
+    for marks, plain_mark in ((SPACES, " "), (DASHES, "-")):  # code point for code point, so positions stay
+        for mark in marks:
+            text = text.replace(mark, plain_mark)
     spans = Spans(("url", *m.span(), "") for m in URL.finditer(text)) if "://" in text else Spans()
     for kind, start, end in _hits(text):
         spans.add(kind, start, end, text[start:end])
