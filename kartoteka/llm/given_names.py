@@ -8,7 +8,9 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
 
-from kartoteka.llm.p4_forms import surface
+import regex
+
+from kartoteka.llm.p4_forms import ORDINARY, surface
 
 # Given names of the region.
 NAMES = """Adam Agnieszka Anna Antoni Antonina Apolonia Barbara Bartłomiej Bolesław Bronisława Cecylia Cyprian Dominik Dorota
@@ -58,8 +60,16 @@ def latin(text: str) -> str:
     return "".join(CYRILLIC.get(c, c) for c in text.lower()).replace("'", "") if any("Ѐ" <= c <= "ӿ" for c in text) else text.lower()
 
 
+#: Polish letters and what is left of them without their marks.
+_UNMARKED = str.maketrans("ąćęłńóśźż", "acelnoszz")
+_ORDINARY = regex.compile(ORDINARY)
+
+
 def plain(text: str) -> str:
     """Lower-case letters without accents; everything else is dropped."""
+    if _ORDINARY.match(text):  # the same as below, for the letters that nearly all values have
+        text = text.lower().translate(_UNMARKED)
+        return text if text.isalpha() else "".join(filter(str.isalpha, text))
     text = unicodedata.normalize("NFD", latin(surface(text)).replace("ł", "l"))
     return "".join(c for c in text if c.isalpha())
 

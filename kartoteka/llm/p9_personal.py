@@ -72,6 +72,7 @@ _ADDRESSES = (
 )
 _PHONE_WORDS = ("tel", "numerem telefonu", "fernr", "fernspr", "phone", "call")
 _BIRTH_WORDS = ("ur", "geb", "born", "nat", "*")
+_PREFIX = regex.compile(r"^(?:00|(?=48\d{9}$))48(?=\d{9}$)|^0(?=\d{9}$)")
 _GAP = regex.compile(r"[ \t]*\n?[ \t]*")
 _AFTER_STREET = regex.compile(rf"(?:{STREETS}|(?:św|sw)\.\s*)$", regex.I)
 
@@ -87,6 +88,10 @@ def _day(m: regex.Match) -> date | None:
     return day if 1800 <= day.year < 2300 else None
 
 
+def _digits(text: str) -> str:
+    return "".join(filter(str.isdecimal, text))
+
+
 def valid_pesel(digits: str) -> bool:
     """Eleven digits with a right check digit and a date that exists."""
     if len(digits) != 11 or sum(int(d) * w for d, w in zip(digits, (1, 3, 7, 9, 1, 3, 7, 9, 1, 3, 1))) % 10:
@@ -130,24 +135,30 @@ class GivenForms:
     def __post_init__(self) -> None:
         known = [f for n in (*NAMES, *SHORT) for f in declined(n)] + list(FOREIGN) + [f for n in FOREIGN for f in (n + "a", n + "owi")]
         self.forms = frozenset(plain(f) for f in known) | frozenset(plain(f) for n in self.others for f in declined(n))
-        self.memo: dict[str, str] = {}
+        self.kinds = _Kinds(self.forms)
 
     def __reduce__(self):
         return GivenForms, (self.others,)
 
-    def kind(self, token: str) -> str:
-        """G or g for a given name in capital or small letters, I for a capital letter, - for what no surname is, else S or s."""
-        if token not in self.memo:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            if len(token) == 1:
-                kind = "I" if token.isupper() else "-"
-            elif len(token) > 2 and plain(token) in self.forms:
-                kind = "G" if token[0].isupper() else "g"
-            else:
-                kind = "-" if len(token) < 3 else "S" if token[0].isupper() else "s"
-            self.memo[token] = kind
-        return self.memo[token]
+
+class _Kinds(dict):
+    """Of each token seen: G or g for a given name in capital or small letters, I for a capital letter, - for what no surname is,
+    else S or s."""
+
+    def __init__(self, forms: frozenset[str]) -> None:
+        self.forms = forms
+
+    def __missing__(self, token: str) -> str:
+        if len(self) >= MEMO:
+            self.clear()
+        if len(token) == 1:
+            kind = "I" if token.isupper() else "-"
+        elif len(token) > 2 and plain(token) in self.forms:
+            kind = "G" if token[0].isupper() else "g"
+        else:
+            kind = "-" if len(token) < 3 else "S" if token[0].isupper() else "s"
+        self[token] = kind
+        return kind
 
 
 def _hits(text: str) -> Iterator[tuple[str, int, int]]:
@@ -164,7 +175,7 @@ def _hits(text: str) -> Iterator[tuple[str, int, int]]:
 
     if _SIX_DIGITS.search(text):
         for m in PESEL.finditer(text):
-            if _PESEL_CUE.search(before(m.start())) or (valid_pesel(regex.sub(r"\D", "", m[0])) and not NO_PHONE.search(before(m.start()))):
+            if _PESEL_CUE.search(before(m.start())) or (valid_pesel(_digits(m[0])) and not NO_PHONE.search(before(m.start()))):
                 yield "id_number", m.start(), m.end()
     if _SERIES.search(text):
         for m in CARD.finditer(text):
@@ -214,13 +225,10 @@ def scan(text: str, forms: GivenForms) -> tuple[list[tuple], list[tuple], list[s
         spans.add(kind, start, end, text[start:end])
     tokens = list(TOKEN.finditer(text))
     words = [m[0] for m in tokens]
-    kind_of = forms.kind
-    kinds = [kind_of(w) for w in words]
-    wanted: set[int] = set()
+    known = forms.kinds
+    kinds = [known[w] for w in words]
+    wanted = {i + d for i, k in enumerate(kinds) if k in "GgI" for d in (-1, 0, 1)}
     after: list[str] = []
-    for i, k in enumerate(kinds):
-        if k in "GgI":
-            wanted.update((i - 1, i, i + 1))
     out = []
     for i in sorted(wanted):
         if not 0 <= i < len(tokens):
@@ -240,7 +248,7 @@ def scan(text: str, forms: GivenForms) -> tuple[list[tuple], list[tuple], list[s
             mark = "w" if gap and _GAP.fullmatch(gap) else "-"
         street = kind != "-" and _AFTER_STREET.search(text, max(0, start - 12), start) is not None
         out.append((i, kind, words[i], start, end, mark, street))
-    return spans.spans, out, [w.lower() for w in words], after
+    return spans.spans, out, list(map(str.lower, words)), after
 
 
 def _names(tokens: list[Sequence], common: frozenset[str]) -> Iterator[tuple[int, int, str]]:
@@ -360,13 +368,18 @@ def _round(key: bytes, tweak: str, r: int, half: int) -> int:
     return int.from_bytes(hashlib.blake2b(f"{tweak}|{r}|{half}".encode(), key=key, digest_size=8).digest(), "big")
 
 
+def _with_digits(text: str, digits: str) -> str:
+    new = iter(digits)
+    return "".join(next(new) if c.isdecimal() else c for c in text)
+
+
 def permute_digits(text: str, key: bytes, tweak: str = "") -> str:
     """``text`` with its digits permuted as one number of that many digits; all other characters stay."""
-    digits = regex.sub(r"\D", "", text)
+    digits = _digits(text)
     if not digits:
         return text
-    new = iter(str(feistel(int(digits), 10 ** len(digits), key, f"{tweak}{len(digits)}")).zfill(len(digits)))
-    return regex.sub(r"\d", lambda _: next(new), text)
+    new = str(feistel(int(digits), 10 ** len(digits), key, f"{tweak}{len(digits)}")).zfill(len(digits))
+    return _with_digits(text, new)
 
 
 _EPOCH, _DAYS = date(1800, 1, 1), (date(2300, 1, 1) - date(1800, 1, 1)).days
@@ -393,7 +406,7 @@ def permute_written_date(text: str, key: bytes) -> str:
 
 def permute_pesel(text: str, key: bytes) -> str:
     """A valid number for a valid one: its date and serial number are permuted, the check digit follows; separators stay."""
-    digits = regex.sub(r"\D", "", text)
+    digits = _digits(text)
     if not valid_pesel(digits):
         return permute_digits(text, key, "pesel")
     century = (18, 19, 20, 21, 22)[((int(digits[2:4]) - 1) // 20 + 1) % 5]
@@ -402,24 +415,23 @@ def permute_pesel(text: str, key: bytes) -> str:
     month = day.month + {18: 80, 19: 0, 20: 20, 21: 40, 22: 60}[day.year // 100]
     body = f"{day.year % 100:02}{month:02}{day.day:02}{serial:04}"
     body += str(-sum(int(d) * w for d, w in zip(body, (1, 3, 7, 9, 1, 3, 7, 9, 1, 3))) % 10)
-    new = iter(body)
-    return regex.sub(r"\d", lambda _: next(new), text)
+    return _with_digits(text, body)
 
 
 def placeholder(kind: str, value: str, key: bytes) -> str:
     """``[KIND pseudonym]``: numbers keep their format, everything else becomes a short keyed code; equal values (letter case,
     accents, spacing and separators aside) get equal pseudonyms."""
     if kind == "id_number":
-        digits = regex.sub(r"\D", "", value)
+        digits = _digits(value)
         if len(digits) == 11:
             return f"[ID_NUMBER {permute_pesel(digits, key)}]"
-        letters, number = regex.sub(r"[^\p{L}]", "", value).upper(), digits
+        letters, number = "".join(filter(str.isalpha, value)).upper(), digits
         base = feistel(sum((ord(c) - 65) % 26 * 26**i for i, c in enumerate(letters)), 26 ** len(letters), key, "series")
         series = "".join(chr(65 + base // 26**i % 26) for i in range(len(letters)))
         return f"[ID_NUMBER {series}{permute_digits(number, key, 'card')}]"
     if kind == "phone":
-        digits = regex.sub(r"\D", "", value)
-        digits = regex.sub(r"^(?:00|(?=48\d{9}$))48(?=\d{9}$)|^0(?=\d{9}$)", "", digits)
+        digits = _digits(value)
+        digits = _PREFIX.sub("", digits)
         return f"[PHONE {permute_digits(digits, key, 'phone')}]"
     if kind == "date":
         return f"[DATE {permute_written_date(value, key)}]"
