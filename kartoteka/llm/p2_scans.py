@@ -25,8 +25,8 @@ SOFT = "¬­=‐"
 DASH = r"—–\-"
 #: Letters of a word as printed, the signs that stand for letters included.
 GLYPH = r"\p{L}\p{M}\p{N}|§£@¢"
-#: A word is rare beside a variant that FREQUENT times as many texts have. FLOOR is a count of texts, not a share: a variant in
-#: fewer corrects nothing, so a small table yields fewer corrections than a large one with the same shares.
+#: A word is rare beside a variant that FREQUENT times as many texts have. FLOOR is a count of texts, not a share, and follows from
+#: FREQUENT: a word stands in one text at least. So a small table yields fewer corrections than a large one with the same shares.
 FREQUENT, FLOOR = 12, 12
 #: A running head is believed from so many texts on that show it in a layout that no sentence has.
 HEADS = 2
@@ -123,35 +123,43 @@ def lexicon(joined: DataFrame) -> DataFrame:
     return joined.select(F.explode(F.array_distinct(words(F.col("joined")))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
+#: Anagram hashes are taken modulo this prime, so that no letter and no length overflows.
+PRIME = 2_147_483_647
+
+
 def anagram(word: Column) -> Column:
-    """Sum of the letters' code points to the fifth power: equal for anagrams, and shifted by a constant for a confusion."""
+    """Sum of the letters' code points to the fifth power modulo ``PRIME``: equal for anagrams, and shifted by a constant for a
+    confusion. Equal hashes are verified letter by letter afterwards."""
+
     def fifth(c: Column) -> Column:
         code = F.ascii(c).cast("bigint")
-        return code * code * code * code * code
+        square = code * code % PRIME
+        return square * square % PRIME * code % PRIME
 
-    return F.aggregate(F.split(word, ""), F.lit(0).cast("bigint"), lambda acc, c: acc + F.when(c == "", F.lit(0).cast("bigint")).otherwise(fifth(c)))
+    return F.aggregate(F.split(word, ""), F.lit(0).cast("bigint"), lambda acc, c: (acc + F.when(c == "", F.lit(0).cast("bigint")).otherwise(fifth(c))) % PRIME)
 
 
 def _anagram(text: str) -> int:
-    return sum(ord(c) ** 5 for c in text)
+    return sum(ord(c) ** 5 for c in text) % PRIME
 
 
 def corrections(lex: DataFrame, frequent: int = FREQUENT, floor: int = FLOOR) -> DataFrame:
-    """``word, variant``: rare words that one confusion turns into a much more frequent word; the best variant each.
+    """``word, variant, n``: rare words that one confusion turns into a much more frequent word; the best variant each.
 
     An equi-join of anagram hashes: rare word's hash, shifted by the confusion, equals the frequent word's hash.
-    Ranked by frequency, then alphabet. Words shorter than four letters are not corrected.
+    Ranked by frequency, then alphabet. Words shorter than four letters are not corrected: most are one confusion away from
+    another word. ``n`` is the number of texts that have the word.
     """
-    lex = lex.where("length(word) >= 4 AND length(word) <= 40")
+    lex = lex.where("length(word) >= 4")
     table = F.array(*[F.struct(F.lit(a).alias("seen"), F.lit(b).alias("true"), F.lit(_anagram(b) - _anagram(a)).alias("shift")) for a, b in CONFUSIONS])
     low = lex.where(F.col("word").rlike(r"\p{L}")).select("word", F.col("n").alias("n_word"), anagram(F.col("word")).alias("hash"))
     low = low.withColumn("c", F.explode(F.filter(table, lambda c: F.contains(F.col("word"), c["seen"]))))
-    low = low.select("word", "n_word", "c.seen", "c.true", (F.col("hash") + F.col("c.shift")).alias("hash"))
+    low = low.select("word", "n_word", "c.seen", "c.true", F.pmod(F.col("hash") + F.col("c.shift"), F.lit(PRIME)).alias("hash"))
     high = lex.where((F.col("n") >= floor) & F.col("word").rlike(r"^[\p{L}-]+$")).select(F.col("word").alias("variant"), F.col("n").alias("n_variant"), anagram(F.col("word")).alias("hash"))
     pairs = low.join(high, "hash").where(F.col("n_variant") >= frequent * F.col("n_word"))
     at = F.sequence(F.lit(1), F.length("word"))
     same = F.exists(at, lambda i: (F.substring("word", i, F.length("seen")) == F.col("seen")) & (F.concat(F.substring("word", F.lit(1), i - 1), F.col("true"), F.substring("word", i + F.length("seen"), F.length("word"))) == F.col("variant")))
-    return pairs.where(same).groupBy("word").agg(F.max_by("variant", F.struct("n_variant", "variant")).alias("variant"))
+    return pairs.where(same).groupBy("word").agg(F.max_by("variant", F.struct("n_variant", "variant")).alias("variant"), F.first("n_word").alias("n"))
 
 
 def _open_hyphens(bodies: DataFrame, lex: DataFrame) -> DataFrame:
@@ -174,21 +182,24 @@ def _analyse(texts: DataFrame) -> tuple[DataFrame, _Corrections, DataFrame]:
     total = lex.agg(F.sum("n")).first()[0] or 0
     fixes = cut(corrections(lex))
     hot = lex.where(F.col("n") >= max(1, -(-total // HOT_WORDS))).join(fixes, "word", "left_anti").select("word")  # at most HOT_WORDS words
-    return joined, _Corrections(fixes, cut(hot)), _open_hyphens(joined, lex)
+    return joined, _Corrections(fixes, cut(hot), total), _open_hyphens(joined, lex)
 
 
 @dataclass
 class _Corrections:
-    """The corrections, and the frequent words that have none."""
+    """The corrections, the frequent words that have none, and the number of words, counted once for each text."""
 
     fixes: DataFrame
     hot: DataFrame
+    total: int
 
 
 def _rare_words(joined: DataFrame, book: _Corrections) -> DataFrame:
-    """``tid, word, variant`` for every text's words that have a correction. The most frequent words, which never have one, are
-    left out by a broadcast whose size is bounded before the rest is shuffled."""
-    return joined.select("tid", F.explode(F.array_distinct(words(F.col("joined")))).alias("word")).where(F.length("word") >= 4).join(F.broadcast(book.hot), "word", "left_anti").join(book.fixes, "word")
+    """``tid, word, variant`` for every text's words that have a correction. The most frequent words without one are left out by a
+    broadcast whose size is bounded before the rest is shuffled, and those with one are joined by broadcast."""
+    every = joined.select("tid", F.explode(F.array_distinct(words(F.col("joined")))).alias("word")).where(F.length("word") >= 4)
+    open_ = every.join(F.broadcast(book.hot), "word", "left_anti")
+    return attach(open_, book.fixes, ["word"], "n", book.total).select("tid", "word", "variant")
 
 
 def find_noise(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -222,20 +233,32 @@ def find_noise(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return attach(rows, sized, ["tid"], "n", df.count()).select("id", F.explode("kinds").alias("kind")).distinct()
 
 
+_SIGNS = {a: b for a, b in reversed(CONFUSIONS) if len(a) == 1 and a not in "eculbhftinm"}
+
+
+def _letters(word: str) -> dict[int, str]:
+    """What the signs of a word stand for, in capitals where its letters are."""
+    upper = sum(c.isupper() for c in word) > 1 or word[:1].isupper() and len(word) < 3
+    return {ord(a): b.upper() if upper else b for a, b in _SIGNS.items()}
+
+
 @F.pandas_udf(T.StringType())
 def _apply(texts: pd.Series, fixes: pd.Series) -> pd.Series:
-    """Each text with its corrections, the letter case of the word's first letter kept."""
+    """Each text with its corrections, the letter case of the word's first letter kept. Signs that no word has, in words without a
+    correction, take the letter that they are read for first among the confusions."""
     token = regex.compile(rf"[{GLYPH}]+(?:-[{GLYPH}]+)*")
-    year = regex.compile(MISREAD_YEAR)
+    year, odd, ordinal = regex.compile(MISREAD_YEAR), regex.compile(MISREAD_WORD), regex.compile(ORDINAL)
     out = []
     for text, pairs in zip(texts, fixes):
         known = {p["word"]: p["variant"] for p in pairs} if pairs is not None else {}
 
         def fix(m, known=known):
             new = known.get(m[0].lower())
-            return m[0] if new is None else new.upper() if m[0].isupper() else new.capitalize() if m[0][0].isupper() else new
+            if new is None:
+                return m[0].translate(_letters(m[0])) if odd.search(m[0]) and not ordinal.fullmatch(m[0]) else m[0]
+            return new.upper() if m[0].isupper() else new.capitalize() if m[0][0].isupper() else new
 
-        text = token.sub(fix, text) if known else text
+        text = token.sub(fix, text) if known or odd.search(text) else text
         out.append(year.sub(lambda m: m[0].translate(DIGITS), text))
     return pd.Series(out, dtype=object)
 
