@@ -91,7 +91,7 @@ def test_knapsack_like_brute_force():
 def test_plan_holds_every_item_and_is_near_the_bound():
     random.seed(2)
     histogram = Counter(min(512, int(random.lognormvariate(4.5, 0.9)) + 1) for _ in range(20_000))
-    configs, bound = p7.plan(dict(histogram), 512)
+    configs, bound, loose = p7.plan(dict(histogram), 512)
     held = Counter()
     for config, times in configs:
         assert sum(n * k for n, k in config.items()) <= 512
@@ -99,13 +99,13 @@ def test_plan_holds_every_item_and_is_near_the_bound():
             held[n] += k * times
     assert held == histogram
     used = sum(times for _, times in configs)
-    assert bound <= used + 1e-6 and used <= 1.01 * bound + 1
+    assert bound <= used + 1e-6 and used <= 1.01 * bound + 1 and loose <= 0.05 * 20_000
 
 
 def test_plan_of_few_and_of_skewed_lengths():
     few, skewed = {52: 10, 34: 8, 32: 12, 29: 10, 46: 4, 38: 12}, {257: 5000, 300: 4000, 100: 3000, 201: 2000}
     for histogram, capacity, most in ((few, 100, 22), (skewed, 512, 9000), ({257: 10**9}, 512, 10**9)):
-        configs, bound = p7.plan(histogram, capacity)
+        configs, bound, loose = p7.plan(histogram, capacity)
         held = Counter()
         for config, times in configs:
             assert sum(n * k for n, k in config.items()) <= capacity
