@@ -1,9 +1,11 @@
+import os
 import random
 from datetime import datetime
 
 import pytest
 
 from kartoteka.llm import given_names as g
+from kartoteka.llm import learned_names
 from kartoteka.llm import p3_names as p3
 from kartoteka.llm import p5_best as p5
 
@@ -15,7 +17,7 @@ KIND = "id bigint, surname string, given_names string, node string, skey int"
     [("Zosia", ("zofia",)), ("FELIX", ("feliks",)), ("Болеслав", ("boleslaw",)), ("Kazmierz", ("kazimierz",)), ("Adalbert", ("wojciech",)), ("Stanislawa", ("stanislawa",)), ("Kowalski", ()), ("", ())],
 )
 def test_names_of(token, names):
-    assert g.names_of(token) == names
+    assert g.seed().of(token) == names
 
 
 def link(spark, people, groups=None):
@@ -111,14 +113,54 @@ def test_model_tells_good_from_bad_sources(spark):
     for k in range(400):
         for name, true in (("a", True), ("b", True), ("z", False)):
             pos = [sum(random.random() < (0.8 if true else 0.02) for _ in range(4)), sum(random.random() < (0.5 if true else 0.4) for _ in range(2))]
-            data.append((k, name, pos, [4 - pos[0], 2 - pos[1]]))
-    table = spark.createDataFrame(data, "group_id int, name string, pos array<bigint>, neg array<bigint>")
-    model = p5.fit(table, 2)
-    assert model["sens"][0] > 0.7 and model["fpr"][0] < 0.08 and model["fpr"][1] > 0.2
-    p = {r.name: r.p for r in table.withColumn("p", p5._posterior(model, 2)).groupBy("name").agg({"p": "avg"}).withColumnRenamed("avg(p)", "p").collect()}
+            data.append((k, name, [("good", pos[0], 4 - pos[0]), ("bad", pos[1], 2 - pos[1])]))
+    table = spark.createDataFrame(data, "group_id int, name string, evidence array<struct<source:string,pos:bigint,neg:bigint>>")
+    rates, truth = p5.fit(table)
+    model = {r.source: r for r in rates.collect()}
+    assert model["good"].sens > 0.7 and model["good"].fpr < 0.08 and model["bad"].fpr > 0.2 and 0.5 < truth < 0.8
+    p = {r.name: r.p for r in p5._judge(table, rates, truth).groupBy("name").agg({"p": "avg"}).withColumnRenamed("avg(p)", "p").collect()}
     assert p["a"] > 0.9 and p["z"] < 0.1
 
 
+@pytest.mark.parametrize("broadcast", [100_000, 1])
+def test_more_sources_than_ever_were_folded(spark, monkeypatch, broadcast):
+    """Two hundred sources keep their own rates, joined by broadcast or by shuffle."""
+    monkeypatch.setattr(p5, "BROADCAST_SOURCES", broadcast)
+    monkeypatch.setattr(p5, "ROUNDS", 3)
+    data = [(k, "a", [(f"s{k % 200}", 1 if k % 200 < 100 else 0, 0 if k % 200 < 100 else 1), ("all", 5, 0)]) for k in range(2000)]
+    table = spark.createDataFrame(data, "group_id int, name string, evidence array<struct<source:string,pos:bigint,neg:bigint>>")
+    sens = {r.source: r.sens for r in p5.fit(table, 3)[0].collect()}
+    assert len(sens) == 201 and all((sens[f"s{i}"] > 0.7) == (i < 100) for i in range(200))
+
+
+def test_forms_that_no_list_has_are_learned(spark):
+    """Names of which no list knows any: forms that take one another's place under rare surnames become one, relatives do not."""
+    random.seed(5)
+    letters = [["".join(random.choices("bcdfgklmnprst", k=n)).capitalize() for n in (9, 6)] for _ in range(25)]
+    forms = {"Zbylut": "Zbysz", "Dobrogniewa": "Doba", "Ludomiła": "Miłka"} | dict(letters)
+    people = []
+    for k in range(900):
+        family = "".join(random.choices("bcdfgklmnprst", k=9))
+        a, b = random.sample(sorted(forms), 2)
+        people += [(family, a), (family, forms[a] if k % 2 else a), (family, b)]
+    people += [("Kowalski", x) for x in (*forms, *forms.values()) for _ in range(9)]  # a frequent surname tells nothing
+    df = spark.createDataFrame([(i, s, f'["{n}"]') for i, (s, n) in enumerate(people)], "id bigint, surname string, given_names string")
+    names, spelled = learned_names.learn(df, "surname", "given_names", g.Names({}))
+    assert all(names.of(a) == names.of(b) for a, b in forms.items()) and len({names.of(a) for a in forms}) == len(forms)
+    assert spelled["milka"] == "miłka"
+    known, _ = learned_names.learn(df, "surname", "given_names")  # beside the list, whose forms keep their names
+    assert known.of("Janek") == ("jan",) and known.of("Zbysz") == known.of("Zbylut")
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="needs the test tables")
+def test_links_are_found_with_a_fifth_of_the_list_removed(spark):
+    random.seed(7)
+    gone = frozenset(random.sample(sorted(g.seed().forms), len(g.seed().forms) // 5))
+    persons, groups = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("persons", "person_groups"))
+    pairs = [{tuple(r) for r in p3.pairs(p3.link(persons, "id", "surname", "given_names", groups, known)).collect()} for known in (None, g.seed(gone))]
+    assert len(pairs[0] & pairs[1]) >= 0.9 * len(pairs[0]) and len(pairs[1] - pairs[0]) <= 0.02 * len(pairs[0])
+
+
 def test_exchanged_letters_in_short_surnames(spark):
     keys = ["nowak", "nowka", "nwoak", "onwak", "noawk", "nokaw", "krol", "korl", "kowalik", "kowlaik", "kowailk", "koawlik"]
     df = spark.createDataFrame([("jan", k, i) for i, k in enumerate(keys)], "g string, skey string, node int")
