@@ -29,6 +29,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can read")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of :func:`ensure_checkpoint_dir`, which every executor can read."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and read it from there, so that a lost executor costs no recomputation."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -34,6 +34,11 @@ def extracted_fields(raw: Column) -> Column:
     )
 
 
+def pattern_reply(raw: Column) -> Column:
+    """The pattern in a reply that wraps it in an object; null for a bare one."""
+    return F.get_json_object(recover_object(raw), "$.regex")
+
+
 def cdx_record(line: Column) -> Column:
     """One line of a capture index; text fields default to the empty string, numbers to 0, null for a malformed line."""
     data = F.from_json(F.when(F.try_parse_json(line).isNotNull(), line), CDX)

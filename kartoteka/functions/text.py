@@ -116,7 +116,7 @@ def split_names(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Each run of letters with a capital first letter, trimmed: nowak-kowalska becomes Nowak-Kowalska."""
     runs = F.regexp_extract_all(strip(text), F.lit(r"[\p{L}\p{M}]+|[^\p{L}\p{M}]+"), F.lit(0))
-    return F.array_join(F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, 2, 1_000_000)))), "")
+    return F.array_join(F.transform(runs, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substring(x, F.lit(2), F.length(x))))), "")
 
 
 def slice_id(doc_id: Column, page: Column, entry: Column) -> Column:
@@ -131,3 +131,13 @@ def entity_id(doc_id: Column, slice_of: Column) -> Column:
 def strip_fences(text: Column) -> Column:
     """A model's reply without the code fence around it."""
     return strip(F.regexp_replace(F.regexp_replace(strip(text), r"^```[a-z]*\n?", ""), r"\n?```$", ""))
+
+
+def to_base64(content: Column) -> Column:
+    """Bytes as text without line ends, for records in JSON."""
+    return F.regexp_replace(F.base64(content), r"\s", "")
+
+
+def from_base64(text: Column) -> Column:
+    """The bytes of :func:`to_base64`; null where the text is none."""
+    return F.try_to_binary(text, F.lit("base64"))

@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kartoteka.operators import images
+
 # Fixed patterns of directory entries and civil records.
 SURNAME_NAME = r"(?U)\b[A-ZĄĆĘŁŃÓŚŹŻ]{2,},\s+[A-ZĄĆĘŁŃÓŚŹŻ][a-ząćęłńóśźż]+\b"
 DATES = r"(?:ur\.|zm\.|[*†])\s*\d{4}"
 ADDRESSES = r"(?iU)\b(?:ul\.|pl\.|al\.)\b"
 ADDRESSES_SPACED = r"(?iU)\b(?:ul\.|pl\.|al\.)"
 KEYWORDS = r"(?iU)\b(?:SPIS|KSIĘGA|REJESTR|ZGONÓW|URODZEŃ|MAŁŻEŃSTW)\b"
-#: Drawn lines or rectangles from which a page counts as a table.
+# Drawn lines and rectangles beyond which a page counts as a table; thresholds and confidences of the rules.
 TABLE_LINES = 15
+DENSE, SOME, COLUMNS, MANY_COLUMNS = 5, 2, 2, 3
+SURE, LIKELY, CIVIL, NEWS = 0.95, 0.70, 0.85, 0.80
 
 
 def entry_density(text: Column, spaced_addresses: bool = False) -> Column:
@@ -26,6 +30,16 @@ def has_keywords(text: Column) -> Column:
     return F.coalesce(text.rlike(KEYWORDS), F.lit(False))
 
 
+def features(pages: DataFrame) -> DataFrame:
+    """``doc_id, page_num, column_count, entry_density, table_structure, keywords_present`` of rendered pages (``doc_id, page_num, text,
+    drawings, image_bytes``). A page whose image cannot be read has one column."""
+    counted = pages.withColumn("column_count", images.column_counts("image_bytes"))
+    return counted.select(
+        "doc_id", "page_num", "column_count", entry_density(F.col("text")).alias("entry_density"),
+        (F.coalesce("drawings", F.lit(0)) > TABLE_LINES).alias("table_structure"), has_keywords(F.col("text")).alias("keywords_present"),
+    )
+
+
 def sampled(index: Column, n_pages: Column) -> Column:
     """Whether a page is the first, the middle or the last one of its document."""
     return (index == 0) | (index == F.floor(n_pages / 2)) & (n_pages > 2) | (index == n_pages - 1)
@@ -44,10 +58,10 @@ def rule(density: Column, columns: Column, table: Column, keywords: Column) -> C
         return F.struct(F.lit(kind).alias("doc_type"), F.lit(confidence).alias("confidence"))
 
     return (
-        F.when((density > 5) & (columns >= 2), of("directory", 0.95))
-        .when(density > 2, of("directory", 0.70))
-        .when(table & keywords, of("civil_record", 0.85))
-        .when((columns >= 3) & (density <= 2), of("newspaper", 0.80))
+        F.when((density > DENSE) & (columns >= COLUMNS), of("directory", SURE))
+        .when(density > SOME, of("directory", LIKELY))
+        .when(table & keywords, of("civil_record", CIVIL))
+        .when((columns >= MANY_COLUMNS) & (density <= SOME), of("newspaper", NEWS))
         .otherwise(of("unknown", 0.0))
     )
 

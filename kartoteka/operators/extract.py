@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kartoteka.cluster import cut
+from kartoteka.cluster import attach, cut
 from kartoteka.functions import json as J
 from kartoteka.functions import text as X
 from kartoteka.operators import patterns as P
@@ -18,8 +18,8 @@ from kartoteka.operators.bloom import BloomFilter
 
 #: Confidence of a pattern hit, and of a model's entity with and without a known surname.
 CACHED, KNOWN, UNKNOWN = 0.8, 0.6, 0.4
-#: Entries of the same layout that a new pattern is tried on.
-PEERS = 5
+#: Entries of the same layout that a new pattern is tried on, and in what part of them it must find a known surname.
+PEERS, HIT_RATE = 5, 0.3
 
 #: What the model is asked; the reply must hold an object with the six fields, or one pattern with groups of their names.
 FIELDS = "surname, given_names, birth_date, death_date, locations, roles"
@@ -100,27 +100,51 @@ def model_tier(rest: DataFrame, bloom: BloomFilter, client: Callable[[str], str]
     return checked.select("doc_id", "slice_id", "text", "fingerprint", "fields", F.when(surname != "", made).alias("entity"), error.alias("error"))
 
 
-def extract(entries: DataFrame, cache: DataFrame, bloom: BloomFilter, client: Callable[[str], str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Entities ``doc_id, entity`` and failures ``doc_id, slice_id, error``; without a ``client`` the cached tier works alone."""
+def extract(
+    entries: DataFrame, cache: DataFrame, bloom: BloomFilter, client: Callable[[str], str] | None = None, threshold: float = HIT_RATE
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entities ``doc_id, entity``, failures ``doc_id, slice_id, error``, and the cache with its hits and with the patterns learned. Without
+    a ``client`` the cached tier works alone."""
     first = cut(cached_tier(entries, cache, bloom))
     entities = first.where("entity IS NOT NULL").select("doc_id", "entity")
+    hits = first.where("entity IS NOT NULL").select("fingerprint", F.current_timestamp().alias("at"))
+    used = P.record_hits(cache, hits)
     if client is None:
-        return entities, first.limit(0).select("doc_id", "slice_id", F.lit("").alias("error"))
+        return entities, first.limit(0).select("doc_id", "slice_id", F.lit("").alias("error")), used
     second = cut(model_tier(first.where("entity IS NULL"), bloom, client))
-    return entities.unionByName(second.where("entity IS NOT NULL").select("doc_id", "entity")), second.where("error IS NOT NULL").select("doc_id", "slice_id", "error")
+    found = second.where("entity IS NOT NULL").select("doc_id", "entity")
+    learned = learn_patterns(first, second, used, bloom, client, threshold)
+    return entities.unionByName(found), second.where("error IS NOT NULL").select("doc_id", "slice_id", "error"), learned
+
+
+def learn_patterns(entries: DataFrame, answered: DataFrame, cache: DataFrame, bloom: BloomFilter, client: Callable[[str], str], threshold: float = HIT_RATE) -> DataFrame:
+    """``cache`` with a pattern for each layout that it lacks and the model has answered for: the model is asked for one on the
+    alphabetically first of the layout's entries, and it is kept if it matches there and finds known surnames in enough of the
+    entry's peers. A call that fails teaches nothing."""
+    pick = F.min_by(F.struct("doc_id", "text", "fields"), F.struct("text", "doc_id"))
+    one = answered.where("entity IS NOT NULL").groupBy("fingerprint").agg(pick.alias("e")).select("fingerprint", "e.*")
+    new = cut(one.join(cache.select("fingerprint"), "fingerprint", "left_anti"))
+    asked = ask(new, pattern_prompts(F.col("text"), F.col("fields")), client).where("error IS NULL")
+    others = peers(entries.join(new.select("fingerprint"), "fingerprint", "left_semi"))
+    candidates = asked.join(others, ["doc_id", "fingerprint", "text"], "left").withColumn("regex", F.coalesce(J.pattern_reply(F.col("reply")), F.col("reply")))
+    good = accepted_patterns(candidates, bloom, threshold)
+    null = F.lit(None).cast("timestamp")
+    return P.put(cache, good.select("fingerprint", "regex", F.current_timestamp().alias("created_at"), F.lit(0).alias("hit_count"), null.alias("last_used")).select(*cache.columns))
 
 
 def peers(entries: DataFrame, n: int = PEERS) -> DataFrame:
     """``doc_id, fingerprint, text, peers``: for each entry text up to ``n`` other texts of its document with the same layout, the
     alphabetically first. Only the first ``n + 1`` texts of a layout are kept at any time."""
-    distinct = entries.select("doc_id", "fingerprint", "text").distinct()
+    distinct = cut(entries.select("doc_id", "fingerprint", "text").distinct())
+    n_rows = distinct.count()
     firsts = distinct.withColumn("_h", F.pmod(F.xxhash64("text"), F.lit(32))).groupBy("doc_id", "fingerprint", "_h").agg(F.slice(F.array_sort(F.collect_set("text")), 1, n + 1).alias("t"))
     firsts = firsts.groupBy("doc_id", "fingerprint").agg(F.slice(F.array_sort(F.flatten(F.collect_list("t"))), 1, n + 1).alias("t"))
-    joined = distinct.join(firsts, ["doc_id", "fingerprint"])
+    sizes = distinct.groupBy("doc_id", "fingerprint").agg(F.count("*").alias("_n"))
+    joined = attach(distinct, firsts.join(sizes, ["doc_id", "fingerprint"]), ["doc_id", "fingerprint"], "_n", n_rows)
     return joined.select("doc_id", "fingerprint", "text", F.slice(F.array_remove(F.col("t"), F.col("text")), 1, n).alias("peers"))
 
 
-def accepted_patterns(candidates: DataFrame, bloom: BloomFilter, threshold: float = 0.3) -> DataFrame:
+def accepted_patterns(candidates: DataFrame, bloom: BloomFilter, threshold: float = HIT_RATE) -> DataFrame:
     """``fingerprint, regex`` of candidates (``fingerprint, text, regex, peers``) that compile, match their own entry, and whose hit
     rate on the peers is ``threshold`` or more: the part of peers in which they find a known surname. No peers, no test."""
     book = candidates.sparkSession.sparkContext.broadcast(bloom)

@@ -9,6 +9,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Window and sensitivity of the local threshold, its range of deviation, and the angles tried against skew.
 WINDOW, SENSITIVITY, DEVIATION = 25, 0.15, 128.0
@@ -83,6 +85,58 @@ def column_count(image: np.ndarray, share: float = 0.15) -> int:
     return max(1, len(_runs(ink > ink.max() * share)))
 
 
+@F.pandas_udf(T.IntegerType())
+def column_counts(data: pd.Series) -> pd.Series:
+    """:func:`column_count` of each PNG; 1 where there is none or it cannot be read."""
+
+    def one(b: bytes | None) -> int:
+        try:
+            return column_count(unpng(bytes(b)))
+        except Exception:  # noqa: BLE001 - an estimate never fails a page
+            return 1
+
+    return data.map(one).astype("int32")
+
+
+@F.pandas_udf(T.LongType())
+def ink_sums(data: pd.Series) -> pd.Series:
+    """All ink of each PNG, 255 for a black pixel; null where there is none or it cannot be read."""
+
+    def one(b: bytes | None) -> int | None:
+        try:
+            return int((255 - unpng(bytes(b)).astype(np.int64)).sum())
+        except Exception:  # noqa: BLE001
+            return None
+
+    return pd.Series([one(b) for b in data], dtype="Int64")
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("y1", T.IntegerType()), T.StructField("y2", T.IntegerType())])))
+def bands(data: pd.Series) -> pd.Series:
+    """:func:`entries` of each PNG; none where it cannot be read."""
+
+    def one(b: bytes | None) -> list[dict]:
+        try:
+            return [{"y1": y1, "y2": y2} for y1, y2 in entries(unpng(bytes(b)))]
+        except Exception:  # noqa: BLE001
+            return []
+
+    return pd.Series([one(b) for b in data], dtype=object)
+
+
+@F.pandas_udf(T.DoubleType())
+def skews(data: pd.Series) -> pd.Series:
+    """:func:`skew` of each PNG; null where there is none or it cannot be read."""
+
+    def one(b: bytes | None) -> float | None:
+        try:
+            return skew(unpng(bytes(b)))
+        except Exception:  # noqa: BLE001
+            return None
+
+    return pd.Series([one(b) for b in data], dtype="float64")
+
+
 def columns(image: np.ndarray, ink: bool = False) -> list[tuple[int, int]]:
     """Column bounds, split in the middle of wide runs of sums below the 20th percentile; a run that the edge ends is none.
 

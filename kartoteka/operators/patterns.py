@@ -63,8 +63,9 @@ def lookup(entries: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def record_hits(cache: DataFrame, hits: DataFrame) -> DataFrame:
-    """``cache`` with each fingerprint's ``hits`` (``fingerprint, at``) added up and the last one's time."""
-    by = hits.groupBy("fingerprint").agg(F.count("*").cast("int").alias("_n"), F.max("at").alias("_at"))
+    """``cache`` with each fingerprint's ``hits`` (``fingerprint, at``, and ``n`` for so many at once) added up and the last one's time."""
+    number = F.sum("n") if "n" in hits.columns else F.count("*")
+    by = hits.groupBy("fingerprint").agg(number.cast("int").alias("_n"), F.max("at").alias("_at"))
     joined = cache.join(by, "fingerprint", "left")
     return joined.withColumn("hit_count", F.col("hit_count") + F.coalesce("_n", F.lit(0))).withColumn("last_used", F.greatest("last_used", "_at")).select(*cache.columns)
 

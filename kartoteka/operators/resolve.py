@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -43,7 +45,7 @@ def similar_texts(names: DataFrame, threshold: float) -> DataFrame:
     return near.withColumn("score", similarity("a", "b")).where(F.col("score") >= threshold)
 
 
-def leaders(names: DataFrame, pairs: DataFrame, max_rounds: int = 60) -> DataFrame:
+def leaders(names: DataFrame, pairs: DataFrame) -> DataFrame:
     """``text, seq`` of the names that become persons: those without a similar leader that came before. Names with a negative
     ``seq`` are stored already and lead in any case.
 
@@ -56,7 +58,7 @@ def leaders(names: DataFrame, pairs: DataFrame, max_rounds: int = 60) -> DataFra
     free = names.join(earlier.select(F.col("x").alias("text")).distinct(), "text", "left_anti")
     leading = cut(free)
     open_ = earlier
-    for _ in range(max_rounds):
+    while True:  # every round decides the earliest open names, so it ends
         heads = leading.select(F.col("text").alias("y"))
         follow = open_.join(heads, "y", "left_semi").select("x").distinct()
         rest = open_.join(follow, "x", "left_anti")
@@ -70,7 +72,6 @@ def leaders(names: DataFrame, pairs: DataFrame, max_rounds: int = 60) -> DataFra
         open_ = rest
         if rest.isEmpty():
             return leading
-    raise RuntimeError(f"names are still open after {max_rounds} rounds")
 
 
 def resolve(entities: DataFrame, threshold: float = 0.85, store: DataFrame | None = None) -> DataFrame:
@@ -122,17 +123,25 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def best_namesake(entities: DataFrame, persons: DataFrame) -> DataFrame:
     """``seq, person`` for entities (``seq, surname, given``) whose plain surname a stored person (``id, surname, given``) has: the
-    one with the most similar given names, ties by the smaller id. Equal spellings are compared once."""
-    left = entities.select("surname", "given").distinct()
-    right = persons.groupBy(F.col("surname"), F.col("given").alias("theirs")).agg(F.min("id").alias("id"))
-    scored = left.join(right, "surname").withColumn("score", jaccard(F.col("given"), F.col("theirs")))
-    best = scored.groupBy("surname", "given").agg(F.max_by("id", F.struct("score", -F.col("id"))).alias("person"))
-    return entities.join(best, ["surname", "given"]).select("seq", "person")
+    one with the most similar given names, ties by the smaller id. Equal spellings are compared once, and only those that share a
+    given name; without any the smallest id is taken."""
+    left = entities.groupBy("surname", "given").agg(F.count("*").alias("n"))
+    right = persons.groupBy("surname", F.array_distinct("given").alias("theirs")).agg(F.min("id").alias("id"))
+    mine = left.select("surname", "given", F.explode(F.array_distinct("given")).alias("name"))
+    others = right.select("surname", "id", F.size("theirs").alias("m"), F.explode("theirs").alias("name"))
+    shared = mine.join(others, ["surname", "name"]).groupBy("surname", "given", "id").agg(F.count("*").alias("c"), F.first("m").alias("m"))
+    score = F.col("c") / (F.size(F.array_distinct("given")) + F.col("m") - F.col("c"))
+    best = shared.groupBy("surname", "given").agg(F.max_by("id", F.struct(score, -F.col("id"))).alias("best"))
+    first = right.groupBy("surname").agg(F.min("id").alias("first")).join(left.groupBy("surname").agg(F.sum("n").alias("_n")), "surname")
+    n = entities.count()
+    named = attach(left.select("surname", "given", "n"), first, ["surname"], "_n", n).drop("_n").join(best, ["surname", "given"], "left")
+    named = named.select("surname", "given", "n", F.coalesce("best", "first").alias("person"))
+    return attach(entities.select("seq", "surname", "given"), named, ["surname", "given"], "n", n).select("seq", "person")
 
 
-def entity_events(entities: DataFrame, dedup: str = "intended") -> DataFrame:
+def entity_events(entities: DataFrame, dedup: str = "intended", keep: Sequence[str] = ()) -> DataFrame:
     """``person_id, event_type, event_date, location, detail`` for entities with ``person_id, birth_date, death_date, locations,
-    roles``: one row for a birth or death with a date, for each location and each role.
+    roles``: one row for a birth or death with a date, for each location and each role. Columns in ``keep`` go along.
 
     ``dedup="literal"`` keeps repeats, as a store whose key has nulls does; ``"intended"`` drops them, nulls being alike.
     """
@@ -147,7 +156,7 @@ def entity_events(entities: DataFrame, dedup: str = "intended") -> DataFrame:
     places = F.transform(F.coalesce("locations", F.array().cast("array<string>")), lambda x: event("residence", location=x))
     jobs = F.transform(F.coalesce("roles", F.array().cast("array<string>")), lambda x: event("occupation", detail=x))
     every = F.concat(dated("birth", "birth_date"), dated("death", "death_date"), places, jobs)
-    rows = entities.select("person_id", F.inline(every))
+    rows = entities.select(*keep, "person_id", F.inline(every))
     if dedup not in ("literal", "intended"):
         raise ValueError("dedup is literal or intended")
     return rows if dedup == "literal" else rows.distinct()

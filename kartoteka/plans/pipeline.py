@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import traceback
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,13 +59,21 @@ class Pipeline:
             before = self.store.completed(phase.name).join(ids, "doc_id", "left_semi")
             skipped = before.count()
             todo = self.store.todo(phase.name, rows)
-            out = phase.run(todo)
-            ok = cut(out.ok.select(*phase.schema.names))
+            try:
+                out = phase.run(todo)
+                ok = cut(out.ok.select(*phase.schema.names))
+                failed = cut(out.failed.select("doc_id", "error_class", "message", F.lit(None).cast("string").alias("traceback"))) if out.failed is not None else None
+                if out.discarded is not None:
+                    out = replace(out, discarded=cut(out.discarded.select("doc_id").distinct()))
+            except Exception as e:  # noqa: BLE001 - what ends a phase fails its documents, not the run
+                out = PhaseOutput(self.spark.createDataFrame([], phase.schema))
+                ok, kind, why = out.ok, f"{type(e).__module__}.{type(e).__qualname__}", traceback.format_exc()
+                failed = todo.select("doc_id").distinct().select("doc_id", F.lit(kind).alias("error_class"), F.lit(str(e)).alias("message"), F.lit(why).alias("traceback"))
             self.store.save(phase.name, ok)
             done = ok.select("doc_id").distinct().count()
             lost = 0
-            if out.failed is not None:
-                failed = cut(out.failed.select(F.lit(phase.name).alias("phase"), "doc_id", "error_class", "message", F.lit(None).cast("string").alias("input_data")))
+            if failed is not None:
+                failed = cut(failed.join(_inputs(todo), "doc_id", "left").select(F.lit(phase.name).alias("phase"), "doc_id", "error_class", "message", "traceback", "input_data"))
                 lost = failed.select("doc_id").distinct().count()
                 if lost:
                     self.failures.record(failed)
@@ -79,6 +88,12 @@ class Pipeline:
         return rows.groupBy("phase").pivot("outcome", list(OUTCOMES)).agg(F.sum("n"))
 
 
+def _inputs(rows: DataFrame) -> DataFrame:
+    """``doc_id, input_data``: one of each document's rows as JSON, without its bytes."""
+    plain = [c for c, t in rows.dtypes if "binary" not in t]
+    return rows.groupBy(F.col("doc_id").cast("string").alias("doc_id")).agg(F.min(F.to_json(F.struct(*plain))).alias("input_data"))
+
+
 def acquisition(settings: Settings, text: str = "text") -> Phase:
     """Documents of a table or reader (``doc_id``, text, anything else is ignored): language score of the first characters, and the
     language filter. Rows of one ``doc_id`` become one document; equal contents under two ids stay two."""

@@ -10,7 +10,7 @@ from kartoteka.functions import text as X
 from kartoteka.operators import classify as C
 from kartoteka.operators import ocr, patterns, profiles, resolve, review
 from kartoteka.operators.bloom import BloomFilter
-from kartoteka.operators.extract import cached_tier, peers
+from kartoteka.operators.extract import peers
 from kartoteka.operators.numbering import numbered
 from kartoteka.plans.pipeline import line_entries
 from kartoteka.sources.stores import last_failures
@@ -109,8 +109,8 @@ def fingerprint(spark: SparkSession, sf: str) -> DataFrame:
   FROM e a LEFT JOIN e b ON a.doc_id = b.doc_id AND a.fingerprint = b.fingerprint AND a.text <> b.text GROUP BY a.doc_id, a.fingerprint, a.text""".replace("coalesce(len(list(b.text)[1:5]), 0)", "least(count(b.text), 5)").replace("list_sort(list(b.text))", "list_sort(list(b.text) FILTER (b.text IS NOT NULL))"))
 def fingerprint_peers(spark: SparkSession, sf: str) -> DataFrame:
     rows = read(spark, sf, "life_events").where(X.strip(F.col("raw_text")) != "")
-    rows = rows.select(F.col("source_doc_id").alias("doc_id"), X.strip(F.col("raw_text")).alias("text"), X.fingerprint(X.strip(F.col("raw_text"))).alias("fingerprint"))
-    found = peers(rows)
+    texts = rows.select(F.col("source_doc_id").alias("doc_id"), X.strip(F.col("raw_text")).alias("text")).distinct()  # a text is worked on once
+    found = peers(texts.withColumn("fingerprint", F.coalesce(X.fingerprint(F.col("text")), F.lit(""))))
     return found.select("doc_id", "fingerprint", F.sha2("text", 256).alias("text_id"), F.size("peers").cast("bigint").alias("n_peers"), F.sha2(F.array_join("peers", "\0"), 256).alias("peers_id"))
 
 
@@ -295,26 +295,12 @@ def pattern_top(spark: SparkSession, sf: str) -> DataFrame:
   SELECT c.fingerprint, (c.hit_count + coalesce(h.n, 0))::int AS hit_count, greatest(c.last_used, h.seen) AS last_used FROM pattern_cache c LEFT JOIN h USING (fingerprint)""")
 def pattern_hits(spark: SparkSession, sf: str) -> DataFrame:
     rows = read(spark, sf, "life_events").where("raw_text IS NOT NULL")
-    hits = rows.select(X.fingerprint(X.strip(F.col("raw_text"))).alias("fingerprint"), F.col("created_at").alias("at"))
+    texts = rows.groupBy("raw_text").agg(F.count("*").alias("n"), F.max("created_at").alias("at"))  # a text is worked on once
+    # never null, so that no filter for nulls computes it a second time
+    hits = texts.select(F.coalesce(X.fingerprint(X.strip(F.col("raw_text"))), F.lit("")).alias("fingerprint"), "n", "at")
     return patterns.record_hits(read(spark, sf, "pattern_cache"), hits).select("fingerprint", "hit_count", "last_used")
 
 
-@query(f"""SELECT e.id, c.regex FROM (SELECT id, {_PRINT} AS fingerprint FROM life_events WHERE raw_text IS NOT NULL) e JOIN pattern_cache c USING (fingerprint)""")
-def pattern_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    rows = read(spark, sf, "life_events").where("raw_text IS NOT NULL").select("id", X.fingerprint(X.strip(F.col("raw_text"))).alias("fingerprint"))
-    return patterns.lookup(rows, read(spark, sf, "pattern_cache")).where("regex IS NOT NULL").select("id", "regex")
-
-
-@query()
-def cached_entities(spark: SparkSession, sf: str) -> DataFrame:
-    """The cached-pattern tier over all entries, with a filter of all stored surnames."""
-    persons = read(spark, sf, "persons")
-    rows = read(spark, sf, "life_events").where("raw_text IS NOT NULL")
-    entries = rows.groupBy(F.col("source_slice_id").alias("slice_id")).agg(F.min("source_doc_id").alias("doc_id"), F.min("raw_text").alias("text"))
-    tier = cached_tier(entries, read(spark, sf, "pattern_cache"), BloomFilter.train(persons, "surname"))
-    return tier.select("doc_id", "slice_id", "fingerprint", F.col("entity.surname").alias("surname"), F.col("entity.confidence").alias("confidence"))
-
-
 @query("SELECT count(*) AS trained, count(*) AS known FROM (SELECT DISTINCT surname FROM persons WHERE trim(surname) <> '')")
 def bloom_recall(spark: SparkSession, sf: str) -> DataFrame:
     """Every trained surname must be found again."""
@@ -367,27 +353,12 @@ def entity_events_once(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.entity_events(_as_entities(spark, sf), dedup="intended")
 
 
-@query("SELECT DISTINCT source_doc_id AS doc_id FROM life_events WHERE source_doc_id NOT IN (SELECT doc_id FROM sources WHERE doc_id IS NOT NULL)")
-def new_sources(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.new_sources(read(spark, sf, "sources"), read(spark, sf, "life_events").select(F.col("source_doc_id").alias("doc_id")))
-
-
 @query("""SELECT p.id, greatest(p.updated_at, e.at) AS updated_at FROM persons p LEFT JOIN (SELECT person_id, max(created_at) AS at FROM life_events GROUP BY 1) e ON e.person_id = p.id""")
 def touched_persons(spark: SparkSession, sf: str) -> DataFrame:
     seen = read(spark, sf, "life_events").select(F.col("person_id").alias("id"), F.col("created_at").alias("at"))
     return resolve.touch(read(spark, sf, "persons"), seen).select("id", "updated_at")
 
 
-@query("""SELECT phase, count(*) FILTER (done) AS skipped, count(*) FILTER (NOT done) AS todo FROM (SELECT DISTINCT phase_name AS phase, doc_id FROM review_queue)
-  JOIN (SELECT doc_id, bool_or(status <> 'pending') AS done, phase_name AS phase FROM review_queue GROUP BY doc_id, phase_name) USING (phase, doc_id) GROUP BY phase""")
-def resume(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents of each phase that have a result, which are skipped, and those still to do: a semi join and its anti join."""
-    queue = read(spark, sf, "review_queue").select(F.col("phase_name").alias("phase"), "doc_id", "status")
-    every, done = queue.select("phase", "doc_id").distinct(), queue.where("status <> 'pending'").select("phase", "doc_id").distinct()
-    sides = [every.join(done, ["phase", "doc_id"], how).select("phase", F.lit(side).alias("side")) for how, side in (("left_semi", "skipped"), ("left_anti", "todo"))]
-    return sides[0].unionByName(sides[1]).groupBy("phase").agg(F.count_if(F.col("side") == "skipped").alias("skipped"), F.count_if(F.col("side") == "todo").alias("todo"))
-
-
 @query("SELECT phase_name AS phase, doc_id, max_by(reason, (created_at, id)) AS message, max(created_at) AS \"timestamp\" FROM review_queue GROUP BY 1, 2")
 def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     """Queue items read as failures: the last one of each phase and document."""
@@ -395,13 +366,6 @@ def dead_letters(spark: SparkSession, sf: str) -> DataFrame:
     return last_failures(rows.select(F.col("phase_name").alias("phase"), "doc_id", F.col("created_at").alias("timestamp"), "message"))
 
 
-@query("""SELECT phase_name AS phase, count(*) FILTER (status = 'accepted') AS accepted, count(*) FILTER (status = 'corrected') AS corrected, count(*) FILTER (status = 'discarded') AS discarded,
-  count(*) FILTER (status = 'pending') AS pending FROM review_queue GROUP BY 1""")
-def run_summary(spark: SparkSession, sf: str) -> DataFrame:
-    queue = read(spark, sf, "review_queue").groupBy(F.col("phase_name").alias("phase")).pivot("status", ["accepted", "corrected", "discarded", "pending"]).count()
-    return queue.na.fill(0)
-
-
 @query("""SELECT time_bucket(INTERVAL 30 DAYS, acquired_at::timestamp, timestamp '1970-01-01') AS window_start, source, count(*) AS documents, sum(n_chars)::bigint AS chars
   FROM documents WHERE acquired_at IS NOT NULL GROUP BY 1, 2""")
 def arrivals(spark: SparkSession, sf: str) -> DataFrame:

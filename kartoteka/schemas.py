@@ -42,7 +42,7 @@ REVIEW = (
     "status string, resolved_at timestamp, resolution_notes string, corrected_data string"
 )
 PATTERNS = "fingerprint string, regex string, created_at timestamp, hit_count int, last_used timestamp"
-FAILURE = "timestamp timestamp, phase string, doc_id string, error_class string, message string, input_data string"
+FAILURE = "timestamp timestamp, phase string, doc_id string, error_class string, message string, traceback string, input_data string"
 CDX = "url string, offset string, length string, filename string"
 
 SOURCES_OF_DOCUMENTS = ("local", "commoncrawl")

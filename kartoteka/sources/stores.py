@@ -61,8 +61,9 @@ class DeadLetters:
     folder: str
 
     def record(self, failures: DataFrame) -> None:
-        """Append failures with ``phase, doc_id, error_class, message, input_data``."""
-        failures.select(F.current_timestamp().alias("timestamp"), *column_names(FAILURE)[1:]).write.mode("append").json(self.folder)
+        """Append failures with ``phase, doc_id, error_class, message`` and, if they have them, ``traceback`` and ``input_data``."""
+        missing = {c: F.lit(None).cast("string") for c in ("traceback", "input_data") if c not in failures.columns}
+        failures.withColumns(missing).select(F.current_timestamp().alias("timestamp"), *column_names(FAILURE)[1:]).write.mode("append").json(self.folder)
 
     def failures(self, phase: str | None = None) -> DataFrame:
         """The last failure of each phase and document, oldest first; malformed lines are left out."""

@@ -223,15 +223,22 @@ def test_cache_files(spark, tmp_path, rows):
     assert rows(patterns.load(spark, f"{tmp_path}/c"), "fingerprint", "hit_count") == [("fp1", 1)]
 
 
-def test_logs(tmp_path):
+def test_logs(spark, tmp_path):
+    import io
     import json
 
-    from kartoteka.logs import phase_logger
+    from kartoteka.logs import RunLog
 
-    log = phase_logger("phase9", tmp_path)
-    log.info("done", extra={"doc_id": "d1"})
-    line = json.loads((tmp_path / "pipeline.jsonl").read_text())
-    assert (line["phase_name"], line["doc_id"], line["message"], line["level"]) == ("phase9", "d1", "done", "INFO")
+    log = RunLog("phase9", tmp_path, io.StringIO())
+    log.note("done", doc_id="d1")
+    try:
+        raise KeyError("gone")
+    except KeyError as e:
+        log.note("lost", "error", error=e)
+    first, second = map(json.loads, (tmp_path / "pipeline.jsonl").read_text().splitlines())
+    assert (first["phase_name"], first["doc_id"], first["message"], first["level"]) == ("phase9", "d1", "done", "INFO") and "exc_info" not in first
+    assert second["level"] == "ERROR" and "KeyError: 'gone'" in second["exc_info"] and "phase9 d1 done" in log.out.getvalue()
+    assert [r.message for r in log.table(spark).collect()] == ["done", "lost"]
 
 
 def test_namesake(spark, rows):
@@ -261,7 +268,8 @@ def test_extraction_tiers(spark, rows):
             raise TimeoutError("late")
         return 'Sure: {"surname": "nowak", "given_names": ["Ewa"], "birth_date": "1901"}'
 
-    entities, failures = extract.extract(entries, cache, bloom, client)
+    entities, failures, after = extract.extract(entries, cache, bloom, client)
+    assert {r.fingerprint: r.hit_count for r in after.collect()} == {fp: 1}  # what the model says of patterns is none here
     got = rows(entities.select("entity.slice_id", "entity.surname", "entity.given_names", "entity.birth_date", "entity.confidence", "entity.extraction_method"))
     assert got == [("s1", "Kowalski", ["Jan"], "1892", 0.8, "regex_cached"), ("s2", "Nowak", ["Ewa"], "1901", 0.6, "llm_ollama")]
     assert rows(failures, "slice_id", "error") == [("s4", "TimeoutError: late")]

@@ -10,6 +10,7 @@ from kartoteka.config import Settings, load_settings
 from kartoteka.errors import AcquisitionError, ConfigError
 from kartoteka.plans import pipeline as P
 from kartoteka.plans import queries as Q
+from kartoteka.plans import stage_queries
 from kartoteka.sources import files, web
 from kartoteka.sources.stores import DeadLetters, PhaseStore
 from kartoteka.streaming import intake
