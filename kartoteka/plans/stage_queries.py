@@ -352,8 +352,9 @@ def page_counts(spark: SparkSession, sf: str) -> DataFrame:
 # ---- extraction
 
 
-#: One pattern for directory entries, as a model would give it; DuckDB reads the same one.
-ENTRY = r"^(?P<surname>[A-ZĄĆĘŁŃÓŚŹŻ]{3,}),? +(?P<given_names>[A-ZĄĆĘŁŃÓŚŹŻ][a-ząćęłńóśźż]+)"
+#: One pattern for directory entries, as a model would give it (blanks in brackets, as new patterns are tried in the verbose syntax);
+#: DuckDB reads the same one.
+ENTRY = r"^(?P<surname>[A-ZĄĆĘŁŃÓŚŹŻ]{3,}),?[ ]+(?P<given_names>[A-ZĄĆĘŁŃÓŚŹŻ][a-ząćęłńóśźż]+)"
 _ENTRIES = f"SELECT source_slice_id AS slice_id, min(source_doc_id) AS doc_id, {strip_sql('min(raw_text)')} AS text FROM life_events WHERE raw_text IS NOT NULL GROUP BY 1"
 _FINGERPRINTED = f"SELECT *, {_PRINT.replace('raw_text', 'text')} AS fingerprint FROM ({_ENTRIES}) WHERE text <> ''"
 _TITLED = r"array_to_string(list_transform(regexp_extract_all(s, '[\p{L}\p{M}]+|[^\p{L}\p{M}]+'), lambda x: upper(x[1]) || lower(x[2:])), '')"
@@ -412,7 +413,7 @@ def extracted_entities(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH e AS (SELECT *, regexp_extract(text, '{ENTRY}', 1) AS s FROM ({_FINGERPRINTED})), a AS (SELECT * FROM e WHERE s <> '' AND NOT (regexp_matches(fingerprint, '^[0-9]') AND {_KNOWN})),
   o AS (SELECT fingerprint, min((text, doc_id)) AS f FROM a GROUP BY fingerprint), n AS (SELECT fingerprint, f[1] AS text, f[2] AS doc_id FROM o WHERE NOT regexp_matches(fingerprint, '^[0-9]')),
   p AS (SELECT n.fingerprint, list_sort(list_distinct(list(e.text) FILTER (e.text IS NOT NULL)))[1:5] AS peers FROM n LEFT JOIN e ON e.fingerprint = n.fingerprint AND e.doc_id = n.doc_id AND e.text <> n.text GROUP BY n.fingerprint),
-  h AS (SELECT fingerprint, peers, unnest(CASE WHEN len(peers) > 0 THEN peers ELSE [''] END) AS t FROM p), r AS (SELECT fingerprint, len(peers) AS n, sum(CASE WHEN s <> '' AND {_KNOWN} THEN 1 ELSE 0 END) AS k FROM (SELECT *, regexp_extract(t, '{ENTRY}', 1) AS s FROM h) GROUP BY 1, 2)
+  h AS (SELECT fingerprint, peers, unnest(CASE WHEN len(peers) > 0 THEN peers ELSE [''] END) AS t FROM p), r AS (SELECT fingerprint, coalesce(len(peers), 0) AS n, sum(CASE WHEN s <> '' AND {_KNOWN} THEN 1 ELSE 0 END) AS k FROM (SELECT *, regexp_extract(t, '{ENTRY}', 1) AS s FROM h) GROUP BY 1, 2)
   SELECT fingerprint FROM r WHERE n = 0 OR k / n >= 0.3 UNION SELECT DISTINCT fingerprint FROM ({_FINGERPRINTED}) WHERE regexp_matches(fingerprint, '^[0-9]')""")
 def learned_patterns(spark: SparkSession, sf: str) -> DataFrame:
     """The cache after the run of :func:`extracted_entities`: the patterns that the model gave and their layouts' peers bear out."""

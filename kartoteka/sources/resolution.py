@@ -12,6 +12,7 @@ from kartoteka.functions import text as X
 from kartoteka.operators import resolve as R
 from kartoteka.schemas import EVENTS, PERSONS, SOURCES
 
+RESULT = "doc_id string, entity_id string, person_db_id bigint, is_new boolean, merge_confidence double, resolved_at timestamp"
 TABLES = {"persons": PERSONS, "events": EVENTS, "sources": SOURCES}
 
 
@@ -45,9 +46,11 @@ class ResolutionStore:
         in the order of documents, pages and entries; the store gets new persons, later times of known ones, events and documents.
 
         Sorted rows get rising, not gapless, numbers, so new ids have gaps. With ``dedup="intended"`` an event that a person has
-        already is not added.
+        already is not added. Without entities nothing is written.
         """
         seq = cut(rows.orderBy("doc_id", "page_num", "entry_index").withColumn("seq", F.monotonically_increasing_id()))
+        if seq.isEmpty():
+            return self.spark.createDataFrame([], RESULT)
         people = seq.select("seq", X.plain_surname(F.col("entity.surname")).alias("surname"))
         persons, events, sources = self.table("persons"), self.table("events"), self.table("sources")
         stored = persons.select("id", F.col("surname_normalized").alias("surname"))

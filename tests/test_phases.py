@@ -53,7 +53,7 @@ def read(image):
 
 def model(prompt):
     if prompt.startswith(extract.PATTERN_PROMPT):
-        return r"(?P<surname>\p{Lu}{2,}), (?P<given_names>\p{L}+), ur\. (?P<birth_date>\d{4})"
+        return r"(?P<surname>\p{Lu}{2,}),[ ](?P<given_names>\p{L}+),[ ]ur\.[ ](?P<birth_date>\d{4})"
     entry = prompt.removeprefix(extract.EXTRACTION_PROMPT).strip()
     if "," not in entry:
         return "no idea"
