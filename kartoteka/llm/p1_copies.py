@@ -66,7 +66,7 @@ def find_copies(df: DataFrame, id_col: str, same: Sequence[str], fields: Sequenc
     rows = base.withColumn("_k", lengths)
     # 1: stripped lengths
     rows = _several(rows, n)
-    # 2: letter histograms, an order-free sum over the letters' hashes; only for members of classes that are left
+    # 2: letter histograms, a hash of the sorted letters; only for members of classes that are left
     def histogram(c: str) -> Column:
         return F.xxhash64(F.array_sort(F.split(stripped(F.col(c)), "")))
 
