@@ -47,6 +47,8 @@ def unpng(data: bytes) -> np.ndarray:
         raise ValueError("not an 8-bit grey PNG")
     width, height = head[:2]
     raw = np.frombuffer(zlib.decompress(body), np.uint8).reshape(height, width + 1)
+    if not raw[:, 0].any():  # no row is filtered
+        return raw[:, 1:].copy()
     out = np.zeros((height, width), np.uint8)
     for y in range(height):
         kind, line = raw[y, 0], raw[y, 1:].astype(np.int32)

@@ -278,7 +278,7 @@ def raster(text: str) -> np.ndarray:
     lines = text.split("\n")
     out = np.full((len(lines), max(1, max(map(len, lines)))), 255, np.uint8)
     for y, line in enumerate(lines):
-        out[y, : len(line)] = [255 if c == " " else 0 for c in line]
+        out[y, : len(line)] = np.where(np.frombuffer(line.encode("utf-32-le"), np.uint32) == ord(" "), 255, 0)
     return out
 
 

@@ -23,6 +23,9 @@ from kartoteka.sources.web import Fetch, captures, fetch_captures
 Render = Callable[[bytes], Iterable[tuple[str, int, bytes]]]
 Read = Callable[[bytes], Iterable[tuple[str, float, int, int, int, int]]]
 
+#: Images of so many bytes are handed on together.
+BATCH_BYTES = 16_000_000
+
 _PAGES = "doc_id string, page_num int, n_pages int, text string, drawings int, image_bytes binary, error string"
 _WORDS = "doc_id string, slice_id string, position int, word string, conf int, left int, top int, width int, height int, error string"
 
@@ -31,15 +34,23 @@ def render_pages(documents: DataFrame, render: Render) -> DataFrame:
     """``doc_id, page_num, n_pages, text, drawings, image_bytes, error`` of documents (``doc_id, content``): one row per page. A document
     without content or pages has one row without a page; one that cannot be read has one row with the error."""
 
+    names = ["doc_id", "page_num", "n_pages", "text", "drawings", "image_bytes", "error"]
+    numbers = {"page_num": "Int64", "n_pages": "Int64", "drawings": "Int64"}
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            out, size = [], 0
             for doc_id, content in zip(batch["doc_id"], batch["content"]):
                 try:
                     pages = list(render(bytes(content))) if content else []
-                    out = [(doc_id, i, len(pages), t, n, b, None) for i, (t, n, b) in enumerate(pages)] or [(doc_id, None, 0, None, None, None, None)]
+                    out += [(doc_id, i, len(pages), t, n, b, None) for i, (t, n, b) in enumerate(pages)] or [(doc_id, None, 0, None, None, None, None)]
+                    size += sum(len(b or b"") for _, _, b in pages)
                 except Exception as e:  # noqa: BLE001 - one bad document must not end the job
-                    out = [(doc_id, None, None, None, None, None, f"{type(e).__name__}: {e}")]
-                yield pd.DataFrame(out, columns=["doc_id", "page_num", "n_pages", "text", "drawings", "image_bytes", "error"]).astype({"page_num": "Int64", "n_pages": "Int64", "drawings": "Int64"})
+                    out.append((doc_id, None, None, None, None, None, f"{type(e).__name__}: {e}"))
+                if size >= BATCH_BYTES:
+                    yield pd.DataFrame(out, columns=names).astype(numbers)
+                    out, size = [], 0
+            yield pd.DataFrame(out, columns=names).astype(numbers)
 
     return documents.select(F.col("doc_id").cast("string"), "content").mapInPandas(run, _PAGES)
 
