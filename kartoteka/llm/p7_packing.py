@@ -15,11 +15,20 @@ from pyspark.sql.window import Window as W
 from kartoteka.cluster import cut
 from kartoteka.llm.tokens import VOCABULARY, with_tokens
 
-#: Rounds of the multiplicative weights method, how sharply a placed length loses its price, and how much more a long item is worth
-#: than short ones of the same size together, as it fits into fewer gaps.
-ROUNDS, RATE, LONG = 3_000, 1.0, 1.2
-#: Work of one round: capacity times lengths priced, of which there are 48 to 256, drawn anew each round where more are left.
-ROUND_WORK = 196_608
+#: Most rounds of the multiplicative weights method in one program, and how sharply a covered length loses its price.
+ROUNDS, RATE = 3_000, 20.0
+#: The fractional solution over all items ends within this part of its lower bound.
+GAP = 0.03
+#: A configuration may be worth this part less than the best one over all lengths; such ones are looked for in random groups of 48
+#: to 192 lengths, and the best one itself in every ``EXACT``-th round and whenever no group has one.
+SLACK, GROUP_WORK, EXACT = 0.3, 98_304, 8
+#: Ways of rounding: of each solution one in so many containers is taken, the best ones, and the program over the items of the
+#: others ends within this part of its bound. The next way is tried where no plan so far is as good as the lower bound allows.
+WAYS = (4, 0.2), (1, 0.05), (8, 0.1)
+#: Lengths covered by so much more than the scarcest one have no price until that one has caught up.
+AHEAD = 0.5
+#: Cells of a knapsack's table held at once; larger ones are computed again block by block when its choice is read off.
+CELLS = 1 << 26
 #: Plans whose numbers of containers differ by this part at most count as alike; the one that leaves least to best fit is taken.
 ALIKE = 0.001
 #: Items that share a bucket of one length are numbered together.
@@ -30,53 +39,96 @@ MAX_CAPACITY = 65_536
 
 def knapsack(lengths: np.ndarray, values: np.ndarray, capacity: int) -> tuple[dict[int, int], float]:
     """The most valuable multiset of lengths within the capacity, as ``{position in lengths: times}``, and its value.
-    ``lengths`` is sorted and positive."""
-    best = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1)
-    upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for w in range(1, capacity + 1):
-        best[w] = best[w - 1]
-        k = upto[w]
-        if k:
-            got = best[w - lengths[:k]] + values[:k]
-            i = int(got.argmax())
-            if got[i] > best[w]:
-                best[w], pick[w] = got[i], i
-    chosen: Counter[int] = Counter()
-    w = capacity
-    while w > 0:
-        if pick[w] < 0:
-            w -= 1
-        else:
-            chosen[int(pick[w])] += 1
-            w -= int(lengths[pick[w]])
-    return dict(chosen), float(best[capacity])
-
-
-def bounded_knapsack(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> dict[int, int]:
-    """The most valuable multiset of lengths within the capacity with at most so many of each, as ``{position in lengths: times}``.
-    Numbers are split into powers of two; one vector step over all fillings for each part."""
-    best = np.zeros(capacity + 1)
-    taken, parts = [], []
-    for i, (length, value) in enumerate(zip(lengths.tolist(), values.tolist())):
+    ``lengths`` is positive."""
+    return bounded_knapsack(lengths, values, capacity // lengths, capacity)
+
+
+def bounded_knapsack(lengths: np.ndarray, values: np.ndarray, most: np.ndarray, capacity: int) -> tuple[dict[int, int], float]:
+    """:func:`knapsack` with at most so many of each length. Numbers are split into powers of two; one vector step over all
+    fillings for each part."""
+    parts = []
+    for i, length in enumerate(lengths.tolist()):
         left, times = min(int(most[i]), capacity // length), 1
-        while left > 0:
+        while left > 0 and values[i] > 0:
             times = min(times, left)
-            size = times * length
-            new = best[: capacity + 1 - size] + times * value
-            better = new > best[size:]
-            best[size:] = np.maximum(new, best[size:])
-            taken.append(better)
-            parts.append((i, times, size))
+            parts.append((i, times, times * length, times * float(values[i])))
             left -= times
             times *= 2
+    best, new = np.zeros(capacity + 1), np.empty(capacity + 1)
+    block = max(1, CELLS // (capacity + 1))
+    taken = np.zeros((min(block, len(parts)), capacity + 1), dtype=bool)
+    before: list[np.ndarray] = []  # the best values in front of each block
+
+    def fill(start: int) -> None:
+        for row, (_, _, size, value) in zip(taken, parts[start : start + block]):
+            end = capacity + 1 - size
+            np.add(best[:end], value, out=new[:end])
+            row[:size] = False
+            np.greater(new[:end], best[size:], out=row[size:])
+            np.maximum(new[:end], best[size:], out=best[size:])
+
+    starts = range(0, len(parts), block)
+    for start in starts:
+        before.append(best.copy() if len(starts) > 1 else best)
+        fill(start)
+    worth, w = float(best[capacity]), capacity
     chosen: Counter[int] = Counter()
-    w = capacity
-    for (i, times, size), better in zip(reversed(parts), reversed(taken)):
-        if w >= size and better[w - size]:
-            chosen[i] += times
-            w -= size
-    return dict(chosen)
+    for start in reversed(starts):
+        if start != starts[-1]:
+            best = before[start // block]
+            fill(start)
+        for row, (i, times, size, _) in reversed(list(zip(taken, parts[start : start + block]))):
+            if row[w]:
+                chosen[i] += times
+                w -= size
+    return dict(chosen), worth
+
+
+def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, gap: float = GAP, rounds: int = ROUNDS) -> tuple[dict[tuple, float], float, np.ndarray]:
+    """The configuration program solved in fractions: ``{((position in lengths, times), ...): multiplicity}`` that together cover
+    every length's count, a lower bound of any such solution and so of the number of containers, and the dual prices that give it.
+
+    Multiplicative weights on the covering program: a length's price falls exponentially with the part of its items covered so
+    far, from its share of a container. Each round a knapsack with these prices finds configurations, whose multiplicities grow
+    together. Prices divided by the value of the best configuration are a feasible dual, so each knapsack over all lengths gives
+    a lower bound (as do the shares of a container and the items above half of one); its value stays a ceiling later, as prices
+    only fall. It ends within ``gap`` of the bound, or after ``rounds``
+    with what covers all lengths by then.
+    """
+    size, covered, draw = lengths / capacity, np.zeros(len(lengths)), np.random.default_rng(0)
+    bound, dual = max(((float(y @ counts), y) for y in (size, (2 * lengths > capacity).astype(float))), key=lambda d: d[0])
+    groups = max(1, min(len(lengths) // max(48, min(192, GROUP_WORK // capacity)), int(bound / 2)))
+    found: dict[tuple, float] = {}
+    total, ceiling, low, since, k = 0.0, np.inf, 0.0, EXACT, 0
+    while (k < rounds or low <= 0) and not (low > 0 and total <= (1 + gap) * bound * low):
+        k += 1
+        prices = np.where(covered - low > AHEAD, 0.0, size * np.exp(-RATE * (covered - low)))
+        fresh = []
+        for some in np.array_split(draw.permutation(len(lengths)), groups) if groups > 1 else ():
+            chosen, value = bounded_knapsack(lengths[some], prices[some], counts[some], capacity)
+            if value > 0 and value >= (1 - SLACK) * ceiling:
+                fresh.append([(int(some[i]), n) for i, n in chosen.items()])
+        since += 1
+        if since >= EXACT or not fresh:
+            chosen, ceiling = bounded_knapsack(lengths, prices, counts, capacity)
+            since = 0
+            if float(counts @ prices) / ceiling > bound:
+                bound, dual = float(counts @ prices) / ceiling, prices / ceiling
+            fresh.append(list(chosen.items()))
+        grown, steps = np.zeros(len(lengths)), []
+        for config in fresh:
+            at, n = np.array(config).T
+            part = n / counts[at]
+            steps.append(1 / part.max())
+            grown[at] += steps[-1] * part
+        step = 0.5 / RATE / grown.max()
+        for config, each in zip(fresh, steps):
+            key = tuple(sorted(config))
+            found[key] = found.get(key, 0.0) + step * each
+        covered += step * grown
+        total += step * sum(steps)
+        ceiling, low = ceiling * float(np.exp(RATE * (covered.min() - low))), float(covered.min())
+    return {config: x / low for config, x in found.items()}, bound, dual
 
 
 def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -114,54 +166,70 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, i
     return [k for kinds in bins.values() for k in kinds]
 
 
+def _rounded(lengths: np.ndarray, counts: np.ndarray, found: dict[tuple, float], dual: np.ndarray, parts: int) -> list[tuple[dict[int, int], int]]:
+    """Whole multiples of a fractional solution that the counts allow: one in ``parts`` of its containers, but at least one, those
+    first whose items the dual prices most (where space alone is scarce, the fullest). The fraction of each configuration is carried to the next one, in the order of their longest lengths."""
+    left = dict(zip(lengths.tolist(), counts.tolist()))
+    configs = [({int(lengths[i]): n for i, n in key}, x) for key, x in found.items()]
+    configs.sort(key=lambda c: sorted(c[0].items(), reverse=True), reverse=True)
+    sums = np.floor(np.cumsum([x for _, x in configs]) + 0.5).astype(np.int64)
+    whole = [(config, int(n)) for (config, _), n in zip(configs, np.diff(sums, prepend=0)) if n] or [(configs[0][0], 1)]
+    price = dict(zip(lengths.tolist(), dual.tolist()))
+    share, out = -(-sum(n for _, n in whole) // parts), []
+    for config, n in sorted(whole, key=lambda c: (-round(sum(price[length] * k for length, k in c[0].items()), 9), -sum(length * k for length, k in c[0].items()))):
+        times = min(n, share, *(left[length] // k for length, k in config.items()))
+        if times:
+            out.append((config, times))
+            share -= times
+            for length, k in config.items():
+                left[length] -= k * times
+    return out
+
+
 def plan(histogram: dict[int, int], capacity: int, rounds: int = ROUNDS) -> tuple[list[tuple[dict[int, int], int]], float, int]:
     """``(configuration, times)`` that holds exactly the histogram's items, a lower bound of the number of containers, and the
     number of items that the program left to best fit.
 
-    Multiplicative weights on the covering program: a length's price falls with the part of its items placed so far; each round
-    a knapsack with these prices finds the best configuration, which is taken in whole multiples, half as often as what is
-    left allows, later as often. Multiples grow with the histogram, so neither the rounds nor the plan do, and what they leave
-    is a part that shrinks as it grows: each round uses up the scarcest of its lengths, and what is left of the others is the scatter of their
-    counts. The lower bound is the best of three duals: tokens over capacity, the same over the fullest configuration, and the
-    items above half of the capacity.
+    The configuration program is solved in fractions (:func:`fractional`) and rounded to whole multiples, those configurations
+    first that the dual prices most. What they leave is solved and rounded again, until nothing is left. Neither the rounds nor the plan
+    grow with the counts. The lower bound is the dual of the program over all items.
 
-    At each halving of what is left the rest could be packed best-fit; of the plans within ``ALIKE`` of the fewest containers
-    the one that leaves least to best fit is kept.
+    After each program the rest could be packed best-fit; of the plans within ``ALIKE`` of the fewest containers the one that
+    leaves least to best fit is kept. At least one program is in each. Other ``WAYS`` of rounding are tried while the fewest
+    containers are more than the bound, rounded up or with ``ALIKE`` added.
     """
-    rest = {length: n for length, n in histogram.items() if 0 < length < capacity and n > 0}
+    items = {length: n for length, n in histogram.items() if 0 < length < capacity and n > 0}
     full = histogram.get(capacity, 0)
     head: list[tuple[dict[int, int], int]] = [({capacity: 1}, full)] if full else []
-    if not rest:
+    if not items:
         return head, float(full), 0
-    lengths = np.array(sorted(rest))
-    counts = np.array([rest[int(x)] for x in lengths])
-    left, draw = counts.copy(), np.random.default_rng(0)
-    even = lengths / capacity
-    low = max(float((even * counts).sum()), float((even * counts).sum() / knapsack(lengths, even, capacity)[1]), float(counts[2 * lengths > capacity].sum()))
-    found: list[tuple[dict[int, int], int]] = []
-    plans: list[tuple[int, int, int, list]] = []  # containers, items left, configurations before, best fit of the rest
-    used, next_look, priced = 0, int(left.sum()), max(48, min(256, ROUND_WORK // capacity))
-    for k in range(rounds + 1):
-        alive = np.flatnonzero(left)
-        items = int(left.sum())
-        if items <= next_look or not len(alive) or k == rounds:
-            tail = best_fit({int(lengths[i]): int(left[i]) for i in alive}, capacity)
-            plans.append((full + used + sum(t for _, t in tail), items, len(found), tail))
-            next_look = items // 2
-        if not len(alive) or k == rounds:
+    lengths = np.array(sorted(items))
+    counts = np.array([items[int(x)] for x in lengths])
+    first, low, prices = fractional(lengths, counts, capacity, GAP, rounds)
+    enough = max(np.ceil(low - 1e-6), low * (1 + ALIKE))
+    plans: list[tuple[int, int, list, int, list]] = []  # containers, items left, configurations, how many of them before, best fit of the rest
+    for parts, gap in WAYS:
+        some, left, found, dual, out, used = lengths, counts, first, prices, [], 0
+        while True:
+            taken = _rounded(some, left, found, dual, parts)
+            rest = Counter(dict(zip(some.tolist(), left.tolist())))
+            for config, times in taken:
+                rest.subtract({length: k * times for length, k in config.items()})
+                used += times
+            out += taken
+            rest = {length: n for length, n in rest.items() if n}
+            tail = best_fit(rest, capacity)
+            plans.append((used + sum(t for _, t in tail), sum(rest.values()), out, len(out), tail))
+            if not rest:
+                break
+            some = np.array(sorted(rest))
+            left = np.array([rest[int(x)] for x in some])
+            found, _, dual = fractional(some, left, capacity, gap, rounds)
+        if min(p[0] for p in plans) <= enough:
             break
-        some = alive if len(alive) <= priced else np.sort(draw.choice(alive, priced, replace=False, p=left[alive] / items))
-        prices = even[some] ** LONG * np.exp(-RATE * (1 - left[some] / counts[some]))
-        chosen = bounded_knapsack(lengths[some], prices, left[some], capacity)
-        at, each = some[list(chosen)], np.array(list(chosen.values()))
-        most = int((left[at] // each).min())
-        times = -(-most // 2) if 4 * k < rounds else most
-        left[at] -= each * times
-        found.append(({int(lengths[i]): int(n) for i, n in zip(at, each)}, times))
-        used += times
     fewest = min(p[0] for p in plans)
-    _, loose, n, tail = min((p for p in plans if p[0] <= fewest * (1 + ALIKE)), key=lambda p: (p[1], p[0]))
-    return head + found[:n] + tail, full + low, loose
+    _, loose, out, n, tail = min((p for p in plans if p[0] <= fewest * (1 + ALIKE)), key=lambda p: (p[1], p[0]))
+    return head + out[:n] + tail, full + low, loose
 
 
 def _slots(plans: dict[int, list[tuple[dict[int, int], int]]]) -> pd.DataFrame:

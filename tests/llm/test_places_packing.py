@@ -114,6 +114,42 @@ def test_plan_of_few_and_of_skewed_lengths():
         assert held == histogram and bound <= sum(t for _, t in configs) <= most
 
 
+def test_plan_rests_on_a_solved_program():
+    import numpy as np
+
+    for histogram, capacity, least in (({171: 6000, 1: 170}, 512, 3000), ({257: 5000, 300: 4000, 100: 3000, 201: 2000}, 512, 9000), ({26: 300, 51: 200, 34: 500, 23: 90}, 100, 400)):
+        configs, bound, loose = p7.plan(histogram, capacity)
+        used = sum(times for _, times in configs)
+        assert bound <= used <= 1.01 * least and bound >= least / (1 + p7.GAP)
+        lengths = np.array(sorted(histogram))
+        counts = np.array([histogram[int(n)] for n in lengths])
+        found, low, dual = p7.fractional(lengths, counts, capacity)
+        held = Counter()
+        for config, x in found.items():
+            assert x >= 0 and sum(int(lengths[i]) * n for i, n in config) <= capacity and all(n <= counts[i] for i, n in config)
+            held.update({i: n * x for i, n in config})
+        assert all(held[i] >= n * (1 - 1e-9) for i, n in enumerate(counts)) and low <= sum(found.values()) <= (1 + p7.GAP) * low + 1e-6
+        assert abs(float(dual @ counts) - low) < 1e-6 * low and p7.bounded_knapsack(lengths, dual, counts, capacity)[1] <= 1 + 1e-9
+
+
+@pytest.mark.parametrize("cells", [1 << 26, 100])
+def test_bounded_knapsack_like_brute_force(monkeypatch, cells):
+    import numpy as np
+
+    monkeypatch.setattr(p7, "CELLS", cells)
+    random.seed(5)
+    for _ in range(20):
+        lengths, most = np.array(random.sample(range(1, 15), 4)), np.array([random.randrange(4) for _ in range(4)])
+        values = np.array([random.random() for _ in lengths])
+        best = [0.0] * 31
+        for n, v, k in zip(lengths.tolist(), values, most.tolist()):
+            for _ in range(k):
+                best = [max(best[w], best[w - n] + v if w >= n else 0) for w in range(31)]
+        chosen, value = p7.bounded_knapsack(lengths, values, most, 30)
+        assert abs(value - best[30]) < 1e-9 and abs(sum(values[i] * n for i, n in chosen.items()) - value) < 1e-9
+        assert sum(int(lengths[i]) * n for i, n in chosen.items()) <= 30 and all(n <= most[i] for i, n in chosen.items())
+
+
 def test_best_fit_takes_items_of_one_length_together():
     random.seed(4)
     for _ in range(100):
