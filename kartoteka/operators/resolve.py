@@ -12,37 +12,64 @@ from pyspark.sql import types as T
 
 from kartoteka.cluster import attach, cut
 from kartoteka.functions.text import iso_date
-from kartoteka.operators.segments import SegmentTables, candidates, indel_budget
+from kartoteka.operators.segments import SegmentTables, by_subsequence, candidates, code_points, indel_budget, letters, subsequence_pairs
 
 
 def indel_similarity(a: str, b: str) -> float:
     """``1 - (insertions + deletions) / (len(a) + len(b))``; 1 for two empty strings."""
-    if not a and not b:
-        return 1.0
-    row = np.zeros(len(b) + 1, dtype=np.int32)
-    other = np.frombuffer(b.encode("utf-32-le"), dtype=np.uint32)
-    for c in np.frombuffer(a.encode("utf-32-le"), dtype=np.uint32):
-        step = np.where(other == c, row[:-1] + 1, row[1:])
-        row[1:] = np.maximum.accumulate(step)
-    total = len(a) + len(b)
-    return 1.0 - (total - 2 * int(row[-1])) / total
+    return float(indel_similarities([a], [b])[0])
+
+
+def indel_similarities(a: list[str], b: list[str]) -> np.ndarray:
+    """:func:`indel_similarity` of many pairs, those of like length at once."""
+    sizes = np.array([(len(x), len(y)) for x, y in zip(a, b)], dtype=np.int64).reshape(-1, 2)
+    out, order, at = np.ones(len(a)), np.argsort(sizes.max(axis=1, initial=0), kind="stable"), 0
+    while at < len(order):
+        take = 4096
+        while take > 1 and take * sizes[order[at : at + take]].max() > 1_000_000:
+            take //= 2
+        some = order[at : at + take]
+        wide, high = sizes[some].max(axis=0)
+        left = np.ascontiguousarray(code_points([a[i] for i in some], wide, 0xFFFFFFFE).T)
+        right = np.ascontiguousarray(code_points([b[i] for i in some], high, 0xFFFFFFFF).T)  # what fills up is never equal
+        row = np.zeros((high + 1, len(some)), dtype=np.int32)
+        for c in left:
+            row[1:] = np.maximum.accumulate(np.where(right == c, row[:-1] + 1, row[1:]), axis=0)
+        total = sizes[some].sum(axis=1)
+        out[some] = np.where(total > 0, 1.0 - (total - 2 * row[-1]) / np.maximum(total, 1), 1.0)
+        at += take
+    return out
 
 
 @F.pandas_udf(T.DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else indel_similarity(x, y) for x, y in zip(a, b)], dtype="float64")
+    there = (a.notna() & b.notna()).to_numpy()
+    out = np.full(len(a), np.nan)
+    out[there] = indel_similarities(a[there].tolist(), b[there].tolist())
+    return pd.Series(out).astype(object).where(there, None)
 
 
 def similar_texts(names: DataFrame, threshold: float) -> DataFrame:
     """``a, b, score`` (each pair once) for the distinct ``text`` values with a similarity of ``threshold`` or more. Candidates by
-    segments, Levenshtein distance as a bound in the JVM, then the exact score."""
-    edits, widest = indel_budget(threshold)
-    longest = names.agg(F.max(F.length("text"))).first()[0] or 1
-    tables = SegmentTables.upto(names.sparkSession, longest, edits, widest)
-    pairs = candidates(names, names, tables).where((F.length("a") < F.length("b")) | (F.col("a") < F.col("b")))
-    most = F.floor((F.length("a") + F.length("b")) * (1 - threshold) + 1e-9).cast("int")
-    near = pairs.where(F.levenshtein("a", "b") <= most)
-    return near.withColumn("score", similarity("a", "b")).where(F.col("score") >= threshold)
+    common subsequences or, for long texts, by segments; letters that differ and the Levenshtein distance as bounds within the join; then
+    the exact score."""
+    spark, (edits, widest) = names.sparkSession, indel_budget(threshold)
+    rows, longest = names.agg(F.count("*"), F.max(F.length("text"))).first()
+    longest = longest or 1
+    parts = max(spark.sparkContext.defaultParallelism, rows // 32_000)  # by rows, as AQE counts bytes, not pairs; the keys of a text compress where they meet
+    names = names.select("text").repartition(parts, "text").select("text", F.length("text").alias("chars"), letters("text").alias("letters"))
+    most = F.floor((F.col("a_chars") + F.col("b_chars")) * (1 - threshold) + 1e-9)
+    ordered = (F.col("a_chars") < F.col("b_chars")) | ((F.col("a_chars") == F.col("b_chars")) & (F.col("a") < F.col("b")))
+    near = ordered & (F.bit_count(F.col("a_letters").bitwiseXOR(F.col("b_letters"))) <= most) & (F.levenshtein("a", "b") <= most)
+
+    def by_segments(n: int, m: int) -> int:
+        k = edits(n, m)
+        return -1 if k < 1 or by_subsequence(n, m, k) else k
+
+    names = cut(names)
+    tables = SegmentTables.upto(spark, longest, by_segments, widest)
+    pairs = subsequence_pairs(names, longest, edits, widest, near, parts).unionByName(candidates(names, tables, near, parts)).distinct()
+    return pairs.withColumn("score", similarity("a", "b")).where(F.col("score") >= threshold)
 
 
 def leaders(names: DataFrame, pairs: DataFrame) -> DataFrame:
